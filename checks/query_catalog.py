@@ -86,7 +86,7 @@ def _run_etl(spark: SparkSession, folder: str) -> DataFrame:
     target = _new_folder(spark)
     raw = raw_from_driver_tables(spark, folder)
     star = star_tables.run_etl(
-        raw, f"{target}/star", f"{target}/processed", order=RAW_ORDER
+        raw, f"{target}/star", f"{target}/processed", order=RAW_ORDER, null_keys="drop"
     )
     return quality.row_counts(star)
 

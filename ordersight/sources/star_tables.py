@@ -41,23 +41,30 @@ def read_star(spark: SparkSession, root: str) -> StarSchema:
 
 
 def new_rows(
-    batch: DataFrame, existing: DataFrame, keys: list[str], order: list[str] | None = None
+    batch: DataFrame,
+    existing: DataFrame,
+    keys: list[str],
+    order: list[str] | None = None,
+    null_keys: str = "fail",
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet, the first per key.
 
-    A row without a key fails the load, as a primary key would.
+    A row without a key fails the load, as a primary key would, or is left out
+    with ``null_keys="drop"``.
     """
-    if order:
-        first = keep_first(batch, keys, list(order))
+    if null_keys not in ("fail", "drop"):
+        raise ValueError(f"unknown null_keys {null_keys!r}")
+    first = keep_first(batch, keys, list(order)) if order else batch.dropDuplicates(keys)
+    if null_keys == "drop":
+        checked = first.dropna(subset=keys)
     else:
-        first = batch.dropDuplicates(keys)
-    checked = first
-    for key in keys:
-        checked = checked.withColumn(
-            key,
-            F.when(F.col(key).isNotNull(), F.col(key)).otherwise(
-                F.raise_error(F.lit(f"null in primary key column {key}"))
-            ),
+        checked = first.withColumns(
+            {
+                key: F.when(F.col(key).isNotNull(), F.col(key)).otherwise(
+                    F.raise_error(F.lit(f"null in primary key column {key}"))
+                )
+                for key in keys
+            }
         )
     return checked.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
 
@@ -88,7 +95,11 @@ def _typed(df: DataFrame, table: str, extra: list[str] = ()) -> DataFrame:
 
 
 def load_idempotent(
-    batch: DataFrame, root: str, table: str, order: list[str] | None = None
+    batch: DataFrame,
+    root: str,
+    table: str,
+    order: list[str] | None = None,
+    null_keys: str = "fail",
 ) -> None:
     """Append the rows of ``batch`` that ``table`` does not hold; safe to repeat.
 
@@ -100,7 +111,7 @@ def load_idempotent(
     schema = STAR_SCHEMAS[table]
     typed = _typed(batch, table, order or [])
     existing = spark.read.schema(schema).parquet(f"{root}/{table}")
-    fresh = new_rows(typed, existing, PRIMARY_KEYS[table], order)
+    fresh = new_rows(typed, existing, PRIMARY_KEYS[table], order, null_keys)
     fresh.select(*schema.names).write.mode("append").parquet(f"{root}/{table}")
 
 
@@ -134,6 +145,7 @@ def run_etl(
     snapshot_format: str = "csv",
     order: list[str] = cleaning.FILE_ORDER,
     database: str | None = None,
+    null_keys: str = "fail",
 ) -> StarSchema:
     """Clean every raw dataset, save snapshots if asked, and load the star tables."""
     spark = next(iter(raw.values())).sparkSession
@@ -150,7 +162,7 @@ def run_etl(
                 else CLEANERS[dataset](watched)
             )
         load_order = [name for name in order if name in clean.columns]
-        load_idempotent(clean, root, table, load_order or None)
+        load_idempotent(clean, root, table, load_order or None, null_keys)
         if seen is not None:
             log.info("%s: %s raw rows, %s without key", table, seen.get["rows"], seen.get["without_key"])
         if snapshots:
