@@ -16,6 +16,7 @@ from ordersight.plans.shared_store import shared_folder
 from ordersight.sources import csv_files, published, star_tables
 from ordersight.sources.driver_tables import (
     RAW_ORDER,
+    raw_dataset,
     raw_from_driver_tables,
     seller_line_bounds,
     star_from_driver_tables,
@@ -47,7 +48,7 @@ def _on_sellers(operator: Callable[..., DataFrame]) -> Query:
 
 def _cleaned(dataset: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        raw = raw_from_driver_tables(spark, folder)[dataset]
+        raw = raw_dataset(spark, folder, dataset)
         cleaner = star_tables.CLEANERS[dataset]
         if dataset in cleaning.UNIQUE:
             return cleaner(raw, RAW_ORDER)
@@ -86,7 +87,11 @@ def _run_etl(spark: SparkSession, folder: str) -> DataFrame:
     target = _new_folder(spark)
     raw = raw_from_driver_tables(spark, folder)
     star = star_tables.run_etl(
-        raw, f"{target}/star", f"{target}/processed", order=RAW_ORDER, null_keys="drop"
+        raw,
+        star_tables.StarHome(f"{target}/star"),
+        f"{target}/processed",
+        order=RAW_ORDER,
+        null_keys="drop",
     )
     return quality.row_counts(star)
 
@@ -97,7 +102,7 @@ def _load_idempotent(spark: SparkSession, folder: str) -> DataFrame:
         star_from_driver_tables(spark, folder)
         .fact_order_payments.withColumn("order_id", F.col("order_id").cast("string"))
     )
-    batch = cleaning.clean_order_payments(raw_from_driver_tables(spark, folder)["payments"])
+    batch = cleaning.clean_order_payments(raw_dataset(spark, folder, "payments"))
     keys = PRIMARY_KEYS["fact_order_payments"]
     return stored.unionByName(star_tables.new_rows(batch, stored, keys, RAW_ORDER).drop(*RAW_ORDER))
 
@@ -111,10 +116,10 @@ def _pk_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 def _check_violations(spark: SparkSession, folder: str) -> DataFrame:
     """The score check on reviews whose scores were not filtered yet."""
-    raw = raw_from_driver_tables(spark, folder)["reviews"]
+    raw = raw_dataset(spark, folder, "reviews")
     scored = raw.withColumn("review_score", F.col("review_score").try_cast("int"))
     star = star_from_driver_tables(spark, folder)
-    return quality.check_violations(StarSchema(**{**star.tables(), "fact_order_reviews": scored}))
+    return quality.check_violations(star.replace(fact_order_reviews=scored))
 
 
 def _dedup_keep_first(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,7 +158,7 @@ QUERIES: dict[str, Query] = {
     "check_violations": _check_violations,
     "length_violations": _on_star(quality.length_violations),
     "null_profile": lambda spark, folder: cleaning.null_profile(
-        raw_from_driver_tables(spark, folder)["orders"].drop(*RAW_ORDER)
+        raw_dataset(spark, folder, "orders").drop(*RAW_ORDER)
     ),
     "clean_customers": _cleaned("customers"),
     "clean_products": _cleaned("products"),
@@ -166,7 +171,7 @@ QUERIES: dict[str, Query] = {
         raw_from_driver_tables(spark, folder), RAW_ORDER
     ),
     "dim_date": lambda spark, folder: cleaning.build_dim_date(
-        raw_from_driver_tables(spark, folder)["orders"]
+        raw_dataset(spark, folder, "orders")
     ),
     "dedup_keep_first": _dedup_keep_first,
     "load_idempotent": _load_idempotent,

@@ -5,6 +5,8 @@ They give the operators something to run on where no shop data is at hand.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +16,47 @@ from ordersight.star import StarSchema
 
 MONEY = "decimal(10,2)"
 
+# Columns of the tables; given, so no file is opened to plan a query.
+SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+    " l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def star_from_driver_tables(spark: SparkSession, folder: str) -> StarSchema:
-    nation = _read(spark, folder, "nation").select("n_nationkey", F.lower("n_name").alias("nation"))
-    customers = (
+    makers = {
+        "dim_customers": _customers,
+        "dim_products": _products,
+        "dim_sellers": _sellers,
+        "dim_date": _dates,
+        "fact_orders": _orders,
+        "fact_order_items": _items,
+        "fact_order_payments": _payments,
+        "fact_order_reviews": _reviews,
+    }
+    return StarSchema(**{name: partial(make, spark, folder) for name, make in makers.items()})
+
+
+def _nations(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, folder, "nation").select("n_nationkey", F.lower("n_name").alias("nation"))
+
+
+def _customers(spark: SparkSession, folder: str) -> DataFrame:
+    return (
         _read(spark, folder, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_nations(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("c_custkey").alias("customer_id"),
             (F.col("c_custkey") - F.col("c_custkey") % 2).alias("customer_unique_id"),
@@ -32,7 +65,10 @@ def star_from_driver_tables(spark: SparkSession, folder: str) -> StarSchema:
             F.col("nation").alias("customer_state"),
         )
     )
-    products = _read(spark, folder, "part").select(
+
+
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, folder, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.when(F.col("p_partkey") % 50 == 0, "unknown")
         .otherwise(F.lower("p_type"))
@@ -40,32 +76,32 @@ def star_from_driver_tables(spark: SparkSession, folder: str) -> StarSchema:
         F.length("p_name").alias("product_name_length"),
         F.col("p_size").alias("product_weight_g"),
     )
-    sellers = (
+
+
+def _sellers(spark: SparkSession, folder: str) -> DataFrame:
+    return (
         _read(spark, folder, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(_nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("s_suppkey").alias("seller_id"),
             F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
             F.col("nation").alias("seller_state"),
         )
     )
-    orders = _orders(spark, folder)
-    days = orders.select(F.col("order_purchase_timestamp").alias("date_id")).dropna().distinct()
-    lines = _read(spark, folder, "lineitem")
+
+
+def _dates(spark: SparkSession, folder: str) -> DataFrame:
+    day = F.col("order_purchase_timestamp").alias("date_id")
+    days = _orders(spark, folder).select(day).dropna().distinct()
+    return days.select("date_id", *calendar_parts(F.col("date_id")))
+
+
+def _items(spark: SparkSession, folder: str) -> DataFrame:
     # (l_orderkey, l_linenumber) repeats; the first row in this order stays.
-    items = keep_first(
-        lines.select(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            "l_extendedprice",
-            "l_quantity",
-            "l_shipdate",
-        ),
-        ["l_orderkey", "l_linenumber"],
-        ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"],
-    ).select(
+    order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = _read(spark, folder, "lineitem").select(*keys, *order)
+    return keep_first(lines, keys, order).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
@@ -73,9 +109,13 @@ def star_from_driver_tables(spark: SparkSession, folder: str) -> StarSchema:
         F.col("l_extendedprice").cast(MONEY).alias("price"),
         F.col("l_quantity").cast(MONEY).alias("freight_value"),
     )
+
+
+def _payments(spark: SparkSession, folder: str) -> DataFrame:
     flag = F.col("l_returnflag")
-    payments = (
-        lines.groupBy("l_orderkey", "l_returnflag")
+    return (
+        _read(spark, folder, "lineitem")
+        .groupBy("l_orderkey", "l_returnflag")
         .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("payment_value"))
         .select(
             F.col("l_orderkey").alias("order_id"),
@@ -85,25 +125,17 @@ def star_from_driver_tables(spark: SparkSession, folder: str) -> StarSchema:
             "payment_value",
         )
     )
-    event = F.col("event_id")
-    day = F.col("ts").cast("date")
-    reviews = _read(spark, folder, "events").select(
+
+
+def _reviews(spark: SparkSession, folder: str) -> DataFrame:
+    event, day = F.col("event_id"), F.col("ts").cast("date")
+    return _read(spark, folder, "events").select(
         event.alias("review_id"),
         F.expr("event_id div 2").alias("order_id"),
         (1 + (event + F.expr("event_id div 7")) % 5).cast("int").alias("review_score"),
         day.alias("review_creation_date"),
         day.alias("review_answer_timestamp"),
     )
-    return StarSchema(
-        dim_customers=customers,
-        dim_products=products,
-        dim_sellers=sellers,
-        dim_date=days.select("date_id", *calendar_parts(F.col("date_id"))),
-        fact_orders=orders,
-        fact_order_items=items,
-        fact_order_payments=payments,
-        fact_order_reviews=reviews,
-    )
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,11 +253,10 @@ RAW_ORDER = ["ord"]
 
 def raw_from_driver_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The seven raw datasets; ``RAW_ORDER`` tells which of several rows came first."""
-    tables = {
-        name: _read(spark, folder, name)
-        for name in ("customer", "nation", "part", "supplier", "orders", "lineitem", "events")
-    }
-    return {
-        name: spark.sql(text, **{t: df for t, df in tables.items() if "{" + t + "}" in text})
-        for name, text in RAW_SQL.items()
-    }
+    return {name: raw_dataset(spark, folder, name) for name in RAW_SQL}
+
+
+def raw_dataset(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    text = RAW_SQL[name]
+    used = [table for table in SCHEMAS if "{" + table + "}" in text]
+    return spark.sql(text, **{table: _read(spark, folder, table) for table in used})

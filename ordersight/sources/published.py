@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,7 @@ def publish_mart(df: DataFrame, root: str, name: str) -> str:
 
 def refresh_all(star: StarSchema, root: str, ref_date: date | None = None) -> None:
     """Compute and store all five results; payments are summed once for all."""
-    shared = replace(star, payment_totals=store(payment_totals(star)))
+    shared = star.replace(payment_totals=store(payment_totals(star)))
     publish_mart(marts.kpi_general(shared), root, "kpi_general")
     publish_mart(marts.revenue_monthly(shared), root, "revenue_monthly")
     publish_mart(marts.top_categories(shared), root, "top_categories")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,30 +16,92 @@ from ordersight.star import PRIMARY_KEYS, STAR_SCHEMAS, StarSchema
 
 log = logging.getLogger(__name__)
 
+# Tables whose rows per key have a fixed bound (one, or as many as a 16-bit line
+# or payment number), so no bucket can grow with one key. Reviews per order and
+# orders per customer have no bound and stay unbucketed on those keys.
+BUCKET_KEYS = {
+    "dim_customers": "customer_id",
+    "dim_products": "product_id",
+    "fact_orders": "order_id",
+    "fact_order_items": "order_id",
+    "fact_order_payments": "order_id",
+}
+
 
-def create_star(spark: SparkSession, root: str, database: str | None = None) -> StarSchema:
-    """Create the eight tables below ``root`` where missing, as typed Parquet.
+@dataclass(frozen=True)
+class StarHome:
+    """Where the tables are kept: Parquet folders below ``root``.
 
-    With ``database`` they are also registered as external tables, so SQL users
-    see ``<database>.<table>``.
+    With ``database`` they are registered as tables of that database, and with
+    ``buckets`` those in :data:`BUCKET_KEYS` are bucketed, so joins and sums by
+    order need no shuffle of orders, items and payments. Choose ``buckets`` so
+    that a bucket of the largest table fits the memory of a task.
     """
-    if database:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+
+    root: str
+    database: str | None = None
+    buckets: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.buckets and not self.database:
+            raise ValueError("buckets need a database to be recorded in")
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def bucket_key(self, table: str) -> str | None:
+        return BUCKET_KEYS.get(table) if self.buckets else None
+
+
+def create_star(spark: SparkSession, home: StarHome) -> StarSchema:
+    """Create the tables that do not exist yet, typed and empty."""
+    if home.database:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {home.database}")
     for name, schema in STAR_SCHEMAS.items():
-        path = f"{root}/{name}"
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-        if database:
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{path}'")
-    return read_star(spark, root)
+        if not home.database:
+            spark.createDataFrame([], schema).write.mode("ignore").parquet(home.path(name))
+            continue
+        columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+        key = home.bucket_key(name)
+        clustered = f"CLUSTERED BY ({key}) INTO {home.buckets} BUCKETS" if key else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {home.database}.{name} ({columns}) "
+            f"USING parquet {clustered} LOCATION '{home.path(name)}'"
+        )
+    return read_star(spark, home)
 
 
-def read_star(spark: SparkSession, root: str) -> StarSchema:
-    return StarSchema(
-        **{
-            name: spark.read.schema(schema).parquet(f"{root}/{name}")
-            for name, schema in STAR_SCHEMAS.items()
-        }
-    )
+def _read_table(spark: SparkSession, home: StarHome, name: str) -> DataFrame:
+    if home.database:
+        return spark.table(f"{home.database}.{name}")
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(home.path(name))
+
+
+def _append(df: DataFrame, home: StarHome, name: str) -> None:
+    key = home.bucket_key(name)
+    if key:
+        # One task per bucket, so a load adds one file to each.
+        df = df.repartition(home.buckets, key)
+    if home.database:
+        df.write.insertInto(f"{home.database}.{name}")
+    else:
+        df.write.mode("append").parquet(home.path(name))
+
+
+def read_star(spark: SparkSession, home: StarHome) -> StarSchema:
+    def reader(name: str) -> Callable[[], DataFrame]:
+        return lambda: _read_table(spark, home, name)
+
+    return StarSchema(**{name: reader(name) for name in STAR_SCHEMAS})
+
+
+def store_star(star: StarSchema, home: StarHome) -> StarSchema:
+    """Append whole tables, as they are, to a new home."""
+    spark = star.fact_orders.sparkSession
+    create_star(spark, home)
+    for name, df in star.tables().items():
+        _append(_typed(df, name), home, name)
+    return read_star(spark, home)
 
 
 def new_rows(
@@ -69,20 +133,6 @@ def new_rows(
     return checked.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
 
 
-def clean_star(raw: dict[str, DataFrame], order: list[str] = cleaning.FILE_ORDER) -> StarSchema:
-    """The star the raw data would load into empty tables, without storing anything."""
-    tables = {}
-    for dataset, _, table in LOADS:
-        if dataset == "dates":
-            clean = cleaning.build_dim_date(raw["orders"])
-        elif dataset in cleaning.UNIQUE:
-            clean = CLEANERS[dataset](raw[dataset], order)
-        else:
-            clean = keep_first(CLEANERS[dataset](raw[dataset]), PRIMARY_KEYS[table], list(order))
-        tables[table] = _typed(clean, table)
-    return StarSchema(**tables)
-
-
 def _typed(df: DataFrame, table: str, extra: list[str] = ()) -> DataFrame:
     """The table's columns in order and type; those ``df`` lacks are NULL."""
     columns = [
@@ -96,7 +146,7 @@ def _typed(df: DataFrame, table: str, extra: list[str] = ()) -> DataFrame:
 
 def load_idempotent(
     batch: DataFrame,
-    root: str,
+    home: StarHome,
     table: str,
     order: list[str] | None = None,
     null_keys: str = "fail",
@@ -107,12 +157,10 @@ def load_idempotent(
     ``order`` is given, those columns to tell which of several rows with the
     same key came first.
     """
-    spark = batch.sparkSession
-    schema = STAR_SCHEMAS[table]
+    existing = _read_table(batch.sparkSession, home, table)
     typed = _typed(batch, table, order or [])
-    existing = spark.read.schema(schema).parquet(f"{root}/{table}")
     fresh = new_rows(typed, existing, PRIMARY_KEYS[table], order, null_keys)
-    fresh.select(*schema.names).write.mode("append").parquet(f"{root}/{table}")
+    _append(fresh.select(*STAR_SCHEMAS[table].names), home, table)
 
 
 # Dataset, snapshot name and table, in the order of the keys between them.
@@ -138,36 +186,53 @@ CLEANERS = {
 }
 
 
+def _clean(
+    dataset: str, raw: dict[str, DataFrame], order: list[str]
+) -> DataFrame:
+    if dataset == "dates":
+        return cleaning.build_dim_date(raw["orders"])
+    if dataset in cleaning.UNIQUE:
+        return CLEANERS[dataset](raw[dataset], order)
+    # Items and payments keep their repeats, and the columns that order them.
+    return CLEANERS[dataset](raw[dataset])
+
+
+def clean_star(raw: dict[str, DataFrame], order: list[str] = cleaning.FILE_ORDER) -> StarSchema:
+    """The star the raw data would load into empty tables, without storing anything."""
+
+    def maker(dataset: str, table: str) -> Callable[[], DataFrame]:
+        def make() -> DataFrame:
+            clean = _clean(dataset, raw, order)
+            if dataset != "dates" and dataset not in cleaning.UNIQUE:
+                clean = keep_first(clean, PRIMARY_KEYS[table], list(order))
+            return _typed(clean, table)
+
+        return make
+
+    return StarSchema(**{table: maker(dataset, table) for dataset, _, table in LOADS})
+
+
 def run_etl(
     raw: dict[str, DataFrame],
-    root: str,
+    home: StarHome,
     snapshots: str | None = None,
     snapshot_format: str = "csv",
     order: list[str] = cleaning.FILE_ORDER,
-    database: str | None = None,
     null_keys: str = "fail",
 ) -> StarSchema:
     """Clean every raw dataset, save snapshots if asked, and load the star tables."""
     spark = next(iter(raw.values())).sparkSession
-    create_star(spark, root, database)
+    create_star(spark, home)
     for dataset, snapshot, table in LOADS:
         if dataset == "dates":
-            clean, seen = cleaning.build_dim_date(raw["orders"]), None
+            clean, seen = _clean(dataset, raw, order), None
         else:
             watched, seen = cleaning.observe_rows(raw[dataset], dataset)
-            # Only items and payments keep repeats, so only they need the order to load.
-            clean = (
-                CLEANERS[dataset](watched, order)
-                if dataset in cleaning.UNIQUE
-                else CLEANERS[dataset](watched)
-            )
+            clean = _clean(dataset, {dataset: watched}, order)
         load_order = [name for name in order if name in clean.columns]
-        load_idempotent(clean, root, table, load_order or None, null_keys)
-        if seen is not None:
-            log.info("%s: %s raw rows, %s without key", table, seen.get["rows"], seen.get["without_key"])
         if snapshots:
             write_clean(clean.drop(*load_order), snapshots, snapshot, snapshot_format)
-    if database:
-        for name in STAR_SCHEMAS:
-            spark.catalog.refreshTable(f"{database}.{name}")
-    return read_star(spark, root)
+        load_idempotent(clean, home, table, load_order or None, null_keys)
+        if seen is not None:
+            log.info("%s: %s raw rows, %s without key", table, seen.get["rows"], seen.get["without_key"])
+    return read_star(spark, home)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
@@ -132,13 +132,13 @@ TEXT_LENGTHS: dict[str, dict[str, int]] = {
 }
 
 
-@dataclass(frozen=True)
 class StarSchema:
-    """Eight lazy tables.
+    """The eight tables, as attributes under their names.
 
-    ``payment_totals`` may hold an already stored result of
-    :func:`ordersight.plans.per_order.payment_totals`, so that several reports
-    over one load share it.
+    Each is given as a DataFrame or as a function that makes one, which is
+    called when the table is first used. ``payment_totals`` may hold a stored
+    result of :func:`ordersight.plans.per_order.payment_totals`, so that several
+    reports over one load share it.
     """
 
     dim_customers: DataFrame
@@ -149,10 +149,30 @@ class StarSchema:
     fact_order_items: DataFrame
     fact_order_payments: DataFrame
     fact_order_reviews: DataFrame
-    payment_totals: DataFrame | None = None
 
-    def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
+    def __init__(
+        self,
+        payment_totals: DataFrame | None = None,
+        **tables: DataFrame | Callable[[], DataFrame],
+    ) -> None:
+        if set(tables) != set(STAR_SCHEMAS):
+            raise ValueError(f"expected the tables {sorted(STAR_SCHEMAS)}, got {sorted(tables)}")
+        self._tables = tables
+        self.payment_totals = payment_totals
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in STAR_SCHEMAS:
+            raise AttributeError(name)
+        table = self._tables[name]
+        if callable(table):
+            table = self._tables[name] = table()
+        return table
+
+    def replace(self, payment_totals: DataFrame | None = None, **tables: DataFrame) -> StarSchema:
+        return StarSchema(payment_totals or self.payment_totals, **{**self._tables, **tables})
 
     def tables(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in STAR_SCHEMAS}
+        return {name: getattr(self, name) for name in STAR_SCHEMAS}
+
+    def table(self, name: str) -> DataFrame:
+        return getattr(self, name)
