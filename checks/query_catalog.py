@@ -40,9 +40,11 @@ def _on_cleaned(operator: Callable[[StarSchema], DataFrame]) -> Query:
     )
 
 
-def _on_sellers(operator: Callable[..., DataFrame]) -> Query:
+def _on_sellers(operator: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, folder: operator(
-        star_from_driver_tables(spark, folder), row_bounds=seller_line_bounds(spark, folder)
+        star_from_driver_tables(spark, folder),
+        row_bounds=seller_line_bounds(spark, folder),
+        **options,
     )
 
 
@@ -187,6 +189,8 @@ QUERIES: dict[str, Query] = {
     ),
     "rfm_scored": _on_star(rfm.rfm_scored),
     "rfm_scored_high_is_best": _on_star(rfm.rfm_scored, high_is_best=True),
+    # The same rows from the plans for tables too large for one window.
+    "rfm_scored_spread": _on_star(rfm.rfm_scored, max_window_rows=0),
     "rfm_simple": _on_star(rfm.rfm_simple),
     "rfm_segments_detail": _on_star(rfm.rfm_segments_detail),
     "rfm_segment_summary": _on_star(rfm.rfm_segment_summary),
@@ -205,8 +209,10 @@ QUERIES: dict[str, Query] = {
     "product_week_zscore": _on_star(anomaly.product_week_zscore),
     "product_metrics": _on_star(ranking.product_metrics),
     "product_ranking": _on_star(ranking.product_ranking),
+    "product_ranking_spread": _on_star(ranking.product_ranking, max_group_rows=0),
     "top_products": _on_star(ranking.top_products),
     "seller_deliveries": _on_sellers(ranking.seller_deliveries),
+    "seller_deliveries_spread": _on_sellers(ranking.seller_deliveries, max_group_rows=590),
     "seller_delivery_trend": _on_sellers(ranking.seller_delivery_trend),
     "seller_trend_summary": _on_sellers(ranking.seller_trend_summary),
     "orders_in_range": _on_star(ranking.orders_in_range, first=RANGE[0], last=RANGE[1]),

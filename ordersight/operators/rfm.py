@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ordersight.functions import percent
 from ordersight.plans.per_order import completed, payment_totals
-from ordersight.plans.tiles import add_ntiles
+from ordersight.plans.tiles import MAX_WINDOW_ROWS, add_ntiles
 from ordersight.star import StarSchema
 
 SCORES = ["recency_score", "frequency_score", "monetary_score"]
@@ -91,7 +91,10 @@ def rfm_raw(star: StarSchema, ref_date: date | None = None) -> DataFrame:
 
 
 def rfm_scored(
-    star: StarSchema, ref_date: date | None = None, high_is_best: bool = False
+    star: StarSchema,
+    ref_date: date | None = None,
+    high_is_best: bool = False,
+    max_window_rows: int = MAX_WINDOW_ROWS,
 ) -> DataFrame:
     """:func:`rfm_raw` with three scores from 1 to 5.
 
@@ -111,6 +114,8 @@ def rfm_scored(
             ),
         },
         tiebreak="customer_unique_id",
+        row_bound=star.dim_customers,
+        max_rows=max_window_rows,
     )
     return scored.withColumn("monetary", monetary.cast("double"))
 
