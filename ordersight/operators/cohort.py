@@ -64,21 +64,25 @@ def all_purchases(star: StarSchema) -> DataFrame:
 
 def cohort_activity(star: StarSchema) -> DataFrame:
     """cohort_month, month_number, active_customers."""
+    month = F.col("purchase_month")
     # Months before joins: a busy account brings at most one row per month.
     account_months = (
         completed(star.fact_orders)
         .select("customer_id", _month(F.col("order_purchase_timestamp")).alias("purchase_month"))
         .distinct()
     )
-    return (
-        account_months.join(_account_cohorts(star), "customer_id")
-        .select(
-            "customer_unique_id",
-            "cohort_month",
-            _months_between(F.col("cohort_month"), F.col("purchase_month")).alias("month_number"),
-        )
+    people_months = (
+        account_months.join(star.dim_customers.select("customer_id", "customer_unique_id"), "customer_id")
+        .filter(F.col("customer_unique_id").isNotNull())
+        .select("customer_unique_id", "purchase_month")
         .distinct()
-        .groupBy("cohort_month", "month_number")
+    )
+    # A person has at most one row per month now, so the window is short; the
+    # month of the first purchase is the first of the person's months.
+    first_month = F.min(month).over(Window.partitionBy("customer_unique_id"))
+    return (
+        people_months.select(first_month.alias("cohort_month"), "purchase_month")
+        .groupBy("cohort_month", _months_between(F.col("cohort_month"), month).alias("month_number"))
         .agg(F.count("*").alias("active_customers"))
     )
 

@@ -19,21 +19,21 @@ from ordersight.plans.shared_store import store
 from ordersight.plans.tiles import SLOT_BITS
 
 MAX_GROUP_ROWS = 4_000_000
+MAX_BROADCAST_KEYS = 50_000
 
 
 def _split(
     df: DataFrame, group: str, row_bounds: DataFrame, max_rows: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of groups within ``max_rows``, rows of larger groups or None)."""
-    large = row_bounds.filter(F.col("n") > max_rows).select(F.col(group).alias("_large")).distinct()
-    if large.isEmpty():
+    large = row_bounds.filter(F.col("n") > max_rows).select(F.col(group).alias("_large"))
+    keys = large.count()
+    if keys == 0:
         return df, None
-    # Broadcast is bounded: at most (all rows / max_rows) keys can be large.
+    if keys <= MAX_BROADCAST_KEYS:
+        large = F.broadcast(large)
     same = F.col(group).eqNullSafe(F.col("_large"))
-    return (
-        df.join(F.broadcast(large), same, "left_anti"),
-        df.join(F.broadcast(large), same, "left_semi"),
-    )
+    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
 
 
 def _range_sorted(df: DataFrame, order: list[Column]) -> DataFrame:

@@ -42,7 +42,10 @@ RAW_FILES = {name: f"{name}.csv" for name in RAW_COLUMNS}
 
 
 def read_raw(
-    spark: SparkSession, folder: str, files: dict[str, str] | None = None
+    spark: SparkSession,
+    folder: str,
+    files: dict[str, str] | None = None,
+    multi_line: tuple[str, ...] = ("reviews",),
 ) -> dict[str, DataFrame]:
     """The seven datasets as strings, found by header name, in lazy frames.
 
@@ -50,12 +53,20 @@ def read_raw(
     ``folder``. Rows carry their place in the file (``_file``, ``_block``,
     ``_row``), so "the first of several" means the first in the file however
     the file is split.
+
+    Datasets in ``multi_line`` may hold line breaks inside quotes. Spark cannot
+    split such a file over tasks, so give a large one as a folder of part files.
     """
     files = {**RAW_FILES, **(files or {})}
-    return {name: _read_csv(spark, f"{folder}/{files[name]}", name) for name in RAW_COLUMNS}
+    return {
+        name: _read_csv(spark, f"{folder}/{files[name]}", name, name in multi_line)
+        for name in RAW_COLUMNS
+    }
 
 
-def _read_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+def _read_csv(
+    spark: SparkSession, path: str, dataset: str, multi_line: bool = False
+) -> DataFrame:
     # Only the header line is read here; no values are inspected.
     header = spark.read.option("header", True).csv(path).columns
     missing = [name for name in RAW_COLUMNS[dataset] if name not in header]
@@ -66,10 +77,8 @@ def _read_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", multi_line)
     )
-    if dataset == "reviews":
-        # Comments hold line breaks inside quotes.
-        reader = reader.option("multiLine", True)
     return reader.csv(path).select(
         *RAW_COLUMNS[dataset],
         F.col("_metadata.file_path").alias("_file"),
