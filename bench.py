@@ -77,6 +77,8 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=str(cpus),
         spark__ui__enabled="false",
+        # The default of 1 MB would run most stages of so little data as one task.
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="128k",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -169,7 +169,9 @@ class StarSchema:
         return table
 
     def replace(self, payment_totals: DataFrame | None = None, **tables: DataFrame) -> StarSchema:
-        return StarSchema(payment_totals or self.payment_totals, **{**self._tables, **tables})
+        if payment_totals is None:
+            payment_totals = self.payment_totals
+        return StarSchema(payment_totals, **{**self._tables, **tables})
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in STAR_SCHEMAS}

@@ -11,6 +11,7 @@ from ordersight.sources.star_tables import (
     StarHome,
     create_star,
     load_idempotent,
+    new_rows,
     read_star,
     run_etl,
 )
@@ -149,6 +150,14 @@ def test_bucketed_tables_join_without_shuffle(spark, make_star, tmp_path):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         assert joined.count() == 20
+        # A load shuffles its batch, but not the stored lines.
+        batch = star.fact_order_items.limit(5)
+        fresh = new_rows(batch, stored.fact_order_items, ["order_id", "order_item_id"])
+        fresh.collect()
+        plan = fresh._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        stored_side = plan[plan.index("LeftAnti") :].splitlines()[-6:]
+        assert "shop_joins.fact_order_items" in "".join(stored_side)
+        assert "Exchange" not in "".join(stored_side)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
@@ -193,6 +202,12 @@ def test_marts_are_stored_and_replaced(spark, make_star, tmp_path):
     assert published.read_mart(spark, str(tmp_path), "kpi_general").first().total_revenue == 11.0
 
 
+def test_local_session_gets_a_folder(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: None)
+    folder = shared_folder(spark)
+    assert folder == shared_folder(spark) and "ordersight-" in folder
+
+
 def test_store_uses_the_shared_folder(spark):
     stored = store(spark.range(3))
     assert all(shared_folder(spark) in name for name in stored.inputFiles())
