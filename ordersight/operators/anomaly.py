@@ -69,7 +69,7 @@ def payment_outliers(star: StarSchema) -> DataFrame:
 
 def _weekly_totals(star: StarSchema) -> DataFrame:
     """Product, category, week, orders_count and revenue (exact) of completed orders."""
-    week = F.date_trunc("week", "order_purchase_timestamp").cast("date")
+    week = F.trunc("order_purchase_timestamp", "week")
     orders = completed(star.fact_orders).select("order_id", week.alias("week_start"))
     # A product counts once per order; the join already gathered each order.
     order_products = (

@@ -9,8 +9,6 @@ carried over from a summary with one row per sorted partition and group.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -88,7 +86,8 @@ def add_previous(
             *rows.columns, *[F.col(f"_chosen.{name}").alias(name) for name in previous]
         )
 
-    return _by_size(df, group, row_bounds, max_rows, plain, spread)
+    small, large = _split(df, group, row_bounds, max_rows)
+    return plain(small) if large is None else plain(small).unionByName(spread(large))
 
 
 def add_ranks(
@@ -211,18 +210,9 @@ def add_ranks(
             .drop("_group")
         )
 
-    return _by_size(df, group, row_bounds, max_rows, plain, spread)
-
-
-def _by_size(
-    df: DataFrame,
-    group: str,
-    row_bounds: DataFrame,
-    max_rows: int,
-    plain: Callable[[DataFrame], DataFrame],
-    spread: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
     small, large = _split(df, group, row_bounds, max_rows)
     if large is None:
         return plain(small)
+    # Read several times below, so it is computed once.
+    small, large = _split(store(df), group, row_bounds, max_rows)
     return plain(small).unionByName(spread(large))

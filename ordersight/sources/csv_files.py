@@ -38,6 +38,28 @@ RAW_COLUMNS = {
         "review_answer_timestamp",
     ],
 }
+# Texts that mean "no value" in the raw files.
+NULL_TEXTS = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
 RAW_FILES = {name: f"{name}.csv" for name in RAW_COLUMNS}
 
 
@@ -80,7 +102,7 @@ def _read_csv(
         .option("multiLine", multi_line)
     )
     return reader.csv(path).select(
-        *RAW_COLUMNS[dataset],
+        *[F.when(~F.col(name).isin(NULL_TEXTS), F.col(name)).alias(name) for name in RAW_COLUMNS[dataset]],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),

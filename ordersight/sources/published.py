@@ -20,21 +20,35 @@ MARTS = [
 ]
 
 
-def publish_mart(df: DataFrame, root: str, name: str) -> str:
-    """Replace the stored result ``name``; results are small, so one file each."""
+def publish_mart(df: DataFrame, root: str, name: str, database: str | None = None) -> str:
+    """Replace the stored result ``name``; results are small, so one file each.
+
+    With ``database`` it is also the table ``mv_<name>`` there.
+    """
     path = f"{root}/{name}"
     df.coalesce(1).write.mode("overwrite").parquet(path)
+    if database:
+        spark = df.sparkSession
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.mv_{name} USING parquet LOCATION '{path}'")
+        spark.catalog.refreshTable(f"{database}.mv_{name}")
     return path
 
 
-def refresh_all(star: StarSchema, root: str, ref_date: date | None = None) -> None:
+def refresh_all(
+    star: StarSchema, root: str, ref_date: date | None = None, database: str | None = None
+) -> None:
     """Compute and store all five results; payments are summed once for all."""
     shared = star.replace(payment_totals=store(payment_totals(star)))
-    publish_mart(marts.kpi_general(shared), root, "kpi_general")
-    publish_mart(marts.revenue_monthly(shared), root, "revenue_monthly")
-    publish_mart(marts.top_categories(shared), root, "top_categories")
-    publish_mart(marts.delivery_performance(shared), root, "delivery_performance")
-    publish_mart(marts.rfm_segments_mart(shared, ref_date), root, "rfm_segments")
+    results = {
+        "kpi_general": marts.kpi_general(shared),
+        "revenue_monthly": marts.revenue_monthly(shared),
+        "top_categories": marts.top_categories(shared),
+        "delivery_performance": marts.delivery_performance(shared),
+        "rfm_segments": marts.rfm_segments_mart(shared, ref_date),
+    }
+    for name, df in results.items():
+        publish_mart(df, root, name, database)
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:

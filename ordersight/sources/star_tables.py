@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ordersight.operators import cleaning
 from ordersight.plans.first_row import keep_first
+from ordersight.plans.shared_store import store
 from ordersight.sources.csv_files import write_clean
 from ordersight.star import PRIMARY_KEYS, STAR_SCHEMAS, StarSchema
 
@@ -236,6 +237,8 @@ def run_etl(
             clean = _clean(dataset, {dataset: watched}, order)
         load_order = [name for name in order if name in clean.columns]
         if snapshots:
+            # Written twice, so the raw files are read and cleaned once.
+            clean = store(clean)
             write_clean(clean.drop(*load_order), snapshots, snapshot, snapshot_format)
         load_idempotent(clean, home, table, load_order or None, null_keys)
         if seen is not None:

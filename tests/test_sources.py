@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 
 import pytest
 
-from ordersight.operators import quality
+from ordersight.__main__ import main
+from ordersight.operators import marts, quality, ranking
 from ordersight.plans.shared_store import drop_stored, shared_folder, store
 from ordersight.sources import csv_files, published
 from ordersight.sources.star_tables import (
@@ -73,6 +75,28 @@ def test_read_raw_keeps_text_as_it_is(spark, raw_folder):
     assert review.review_comment_message == 'two\nlines with "quotes"'
 
 
+def test_read_raw_knows_texts_for_missing_values(spark, tmp_path):
+    (tmp_path / "sellers.csv").write_text(
+        'seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,"",NA,nan\ns2,NULL, ,Nantes\n'
+    )
+    raw = csv_files._read_csv(spark, str(tmp_path / "sellers.csv"), "sellers")
+    assert values(raw.orderBy("seller_id").drop("_file", "_block", "_row")) == [
+        ("s1", None, None, None),
+        ("s2", None, " ", "Nantes"),
+    ]
+
+
+def test_ranges_reach_the_files(spark, make_star, tmp_path):
+    home = StarHome(str(tmp_path / "star"))
+    create_star(spark, home)
+    load_idempotent(make_star(orders=[order("o", "c", "2018-01-05")]).fact_orders, home, "fact_orders")
+    found = ranking.orders_in_range(read_star(spark, home), date(2018, 1, 1), date(2018, 1, 31))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_purchase_timestamp" in plan
+    assert "ReadSchema: struct<order_id:string,order_status:string,order_purchase_timestamp:date>" in plan
+    assert found.count() == 1
+
+
 def test_read_raw_names_missing_columns(spark, raw_folder, tmp_path):
     for name in RAW:
         (tmp_path / f"{name}.csv").write_text("order_id\n1\n")
@@ -200,6 +224,8 @@ def test_marts_are_stored_and_replaced(spark, make_star, tmp_path):
         for name in published.MARTS:
             assert published.read_mart(spark, str(tmp_path), name).count() == 1
     assert published.read_mart(spark, str(tmp_path), "kpi_general").first().total_revenue == 11.0
+    published.publish_mart(marts.delivery_performance(star), str(tmp_path), "delivery_performance", "kpis")
+    assert spark.table("kpis.mv_delivery_performance").first().total_delivered == 1
 
 
 def test_local_session_gets_a_folder(spark, monkeypatch):
@@ -212,3 +238,13 @@ def test_store_uses_the_shared_folder(spark):
     stored = store(spark.range(3))
     assert all(shared_folder(spark) in name for name in stored.inputFiles())
     assert drop_stored(spark)
+
+
+def test_command_line(spark, raw_folder, tmp_path):
+    home = str(tmp_path / "star")
+    main(["etl", raw_folder, home, "--snapshots", str(tmp_path / "processed")])
+    main(["report", "status_distribution", home, str(tmp_path / "report")])
+    report = spark.read.option("header", True).csv(str(tmp_path / "report"))
+    assert sorted(values(report)) == [("canceled", "1"), ("delivered", "1")]
+    main(["refresh", home, str(tmp_path / "marts")])
+    assert published.read_mart(spark, str(tmp_path / "marts"), "revenue_monthly").count() == 1
