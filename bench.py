@@ -16,7 +16,6 @@ import os
 import statistics
 import sys
 import time
-import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -26,7 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.query_catalog import QUERIES  # noqa: E402
 from ordersight.operators import anomaly, cohort, marts, ranking, rfm  # noqa: E402
-from ordersight.plans.shared_store import shared_folder  # noqa: E402
+from ordersight.plans.shared_store import drop_stored, run_folder  # noqa: E402
 from ordersight.session import build_session  # noqa: E402
 from ordersight.sources import published  # noqa: E402
 from ordersight.sources.driver_tables import star_from_driver_tables  # noqa: E402
@@ -88,7 +87,7 @@ def main() -> None:
         for name in sys.argv[1:]:
             seconds[name] = median_time(partial(QUERIES[name], spark, folder))
     else:
-        place = f"{shared_folder(spark).rstrip('/')}/bench-{uuid.uuid4().hex}"
+        place = f"{run_folder(spark)}/bench"
         home = StarHome(f"{place}/star", database="bench", buckets=cpus)
         start = time.perf_counter()
         star = store_star(star_from_driver_tables(spark, folder), home)
@@ -112,6 +111,7 @@ def main() -> None:
             }
         )
     )
+    drop_stored(spark)
     spark.stop()
 
 

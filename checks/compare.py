@@ -14,6 +14,7 @@ import duckdb
 
 from checks.expected_sql import EXPECTED_SQL
 from checks.query_catalog import QUERIES
+from ordersight.plans.shared_store import drop_stored
 from ordersight.session import build_session
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -76,6 +77,7 @@ def main() -> int:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         wrong += problem is not None
         print(f"{'ok  ' if problem is None else 'DIFF'} {name} {time.time() - start:.2f}s {problem or ''}", flush=True)
+    drop_stored(spark)
     print(f"{wrong} differences")
     return min(wrong, 1)
 

@@ -9,10 +9,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ordersight.operators import anomaly, cleaning, cohort, marts, quality, ranking, rfm
 from ordersight.plans.first_row import keep_first
-from ordersight.plans.shared_store import shared_folder
+from ordersight.plans.shared_store import run_folder
 from ordersight.sources import csv_files, published, star_tables
 from ordersight.sources.driver_tables import (
     RAW_ORDER,
@@ -54,13 +55,19 @@ def _cleaned(dataset: str) -> Query:
         cleaner = star_tables.CLEANERS[dataset]
         if dataset in cleaning.UNIQUE:
             return cleaner(raw, RAW_ORDER)
-        return cleaner(raw).drop(*RAW_ORDER)
+        return _doubles(cleaner(raw).drop(*RAW_ORDER))
 
     return query
 
 
+def _doubles(df: DataFrame) -> DataFrame:
+    """Amounts as doubles, which every engine hands out alike."""
+    amounts = [field.name for field in df.schema if isinstance(field.dataType, DecimalType)]
+    return df.withColumns({name: F.col(name).cast("double") for name in amounts})
+
+
 def _new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/checks-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def _read_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +113,8 @@ def _load_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     )
     batch = cleaning.clean_order_payments(raw_dataset(spark, folder, "payments"))
     keys = PRIMARY_KEYS["fact_order_payments"]
-    return stored.unionByName(star_tables.new_rows(batch, stored, keys, RAW_ORDER).drop(*RAW_ORDER))
+    fresh = star_tables.new_rows(batch, stored, keys, RAW_ORDER).drop(*RAW_ORDER)
+    return _doubles(stored.unionByName(fresh))
 
 
 def _pk_violations(spark: SparkSession, folder: str) -> DataFrame:

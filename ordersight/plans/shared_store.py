@@ -28,20 +28,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
-def _run_folder(spark: SparkSession) -> str:
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder this application may fill and drop."""
     return f"{shared_folder(spark).rstrip('/')}/ordersight-{spark.sparkContext.applicationId}"
 
 
 def store(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a frame that reads the written copy."""
     spark = df.sparkSession
-    path = f"{_run_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stored(spark: SparkSession) -> bool:
     """Remove everything this application stored; call when results are used up."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.delete(path, True)
