@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from ordersight.llm.decontamination import OP7_SQL, op7_decontamination
+from ordersight.llm.repeats import op4_suffix_repeats
 
 QUERIES = {
+    "op4_suffix_repeats": op4_suffix_repeats,
     "op7_decontamination": op7_decontamination,
 }
 EXPECTED_SQL = {
