@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from ordersight.llm.decontamination import OP7_SQL, op7_decontamination
+from ordersight.llm.language_id import op9_language
 from ordersight.llm.quality_model import op2_quality
 from ordersight.llm.repeats import op4_suffix_repeats
 
 QUERIES = {
+    "op9_language": op9_language,
     "op2_quality": op2_quality,
     "op4_suffix_repeats": op4_suffix_repeats,
     "op7_decontamination": op7_decontamination,
