@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from ordersight.llm.decontamination import OP7_SQL, op7_decontamination
 from ordersight.llm.language_id import op9_language
+from ordersight.llm.packing import op10_packing
 from ordersight.llm.quality_model import op2_quality
 from ordersight.llm.repeats import op4_suffix_repeats
+from ordersight.llm.token_counts import op3_token_counts
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
+    "op10_packing": op10_packing,
     "op9_language": op9_language,
     "op2_quality": op2_quality,
     "op4_suffix_repeats": op4_suffix_repeats,
