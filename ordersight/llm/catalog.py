@@ -7,9 +7,11 @@ from ordersight.llm.language_id import op9_language
 from ordersight.llm.packing import op10_packing
 from ordersight.llm.quality_model import op2_quality
 from ordersight.llm.repeats import op4_suffix_repeats
+from ordersight.llm.sharding import op5_sharding
 from ordersight.llm.token_counts import op3_token_counts
 
 QUERIES = {
+    "op5_sharding": op5_sharding,
     "op3_token_counts": op3_token_counts,
     "op10_packing": op10_packing,
     "op9_language": op9_language,
