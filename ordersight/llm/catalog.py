@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ordersight.llm.decontamination import OP7_SQL, op7_decontamination
 from ordersight.llm.language_id import op9_language
+from ordersight.llm.near_duplicates import op6_near_duplicates
 from ordersight.llm.packing import op10_packing
 from ordersight.llm.quality_model import op2_quality
 from ordersight.llm.repeats import op4_suffix_repeats
@@ -11,6 +12,7 @@ from ordersight.llm.sharding import op5_sharding
 from ordersight.llm.token_counts import op3_token_counts
 
 QUERIES = {
+    "op6_near_duplicates": op6_near_duplicates,
     "op5_sharding": op5_sharding,
     "op3_token_counts": op3_token_counts,
     "op10_packing": op10_packing,
