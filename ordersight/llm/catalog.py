@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ordersight.llm.decontamination import OP7_SQL, op7_decontamination
+from ordersight.llm.embedding_links import op8_embedding_links
 from ordersight.llm.language_id import op9_language
 from ordersight.llm.near_duplicates import op6_near_duplicates
 from ordersight.llm.packing import op10_packing
@@ -12,6 +13,7 @@ from ordersight.llm.sharding import op5_sharding
 from ordersight.llm.token_counts import op3_token_counts
 
 QUERIES = {
+    "op8_embedding_links": op8_embedding_links,
     "op6_near_duplicates": op6_near_duplicates,
     "op5_sharding": op5_sharding,
     "op3_token_counts": op3_token_counts,
