@@ -11,8 +11,10 @@ from ordersight.llm.quality_model import op2_quality
 from ordersight.llm.repeats import op4_suffix_repeats
 from ordersight.llm.sharding import op5_sharding
 from ordersight.llm.token_counts import op3_token_counts
+from ordersight.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op8_embedding_links": op8_embedding_links,
     "op6_near_duplicates": op6_near_duplicates,
     "op5_sharding": op5_sharding,
