@@ -76,10 +76,9 @@ class _Block:
             owners.append(owner[chosen])
             places.append(place[chosen])
             sizes.append(np.full(chosen.sum(), size))
-        self.tokens = np.concatenate(tokens)
-        self.owners = np.concatenate(owners)
-        self.places = np.concatenate(places)
-        self.sizes = np.concatenate(sizes)
+        none = np.zeros(0, np.int64)
+        self.tokens = np.concatenate([none.astype(np.uint64), *tokens])
+        self.owners, self.places, self.sizes = (np.concatenate([none, *x]) for x in (owners, places, sizes))
 
     def keep_rarest(self, counted: dict[int, int]) -> None:
         """Of each window keep the shingle that the fewest documents hold."""
@@ -216,9 +215,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *columns: str, blo
     block_of = F.pmod(F.xxhash64("window", "item_id"), F.lit(n_blocks))
     for number in range(n_blocks):
         mine = [(r.window, r.item_id) for r in pairs.where(block_of == number).toLocalIterator()]
-        if not mine and number + 1 < n_blocks:
-            continue
-        block = _Block(mine or [("\x01", 0)])
+        block = _Block(mine)
         counted = _document_frequency(texts, spark.sparkContext.broadcast(block)).collect()
         block.keep_rarest({r.token: r.n for r in counted})
         rows = _with_hits(rows, spark.sparkContext.broadcast(block))

@@ -128,6 +128,8 @@ def count_edited(coder: Encoder, texts: list[str], edits: list[list[Edit]]) -> l
         for left, right, new in stretches(texts[row], edits[row]):
             first, past = np.searchsorted(starts, [left, right])
             pending.append((row, int(first), int(past), new))
+    # Stretches without pre-tokens are added to a neighbour, so they come last.
+    pending.sort(key=lambda p: p[1] == p[2])
     for (row, first, past, _), ids in zip(pending, coder.ids([p[3] for p in pending])):
         trees[row][0].replace(first, past, len(ids))
         before, _, redone = out[row]
