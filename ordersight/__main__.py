@@ -1,6 +1,6 @@
 """Command line: load raw files, write one report, refresh the KPI tables.
 
-    python -m ordersight etl RAW HOME [--snapshots DIR]
+    python -m ordersight etl RAW HOME [--snapshots DIR] [--file orders=orders_2018.csv ...]
     python -m ordersight report NAME HOME OUT
     python -m ordersight refresh HOME MARTS
 """
@@ -11,10 +11,11 @@ import argparse
 import logging
 
 from ordersight.operators import anomaly, cohort, marts, quality, ranking, rfm
+from ordersight.plans.shared_store import drop_stored
 from ordersight.session import build_session
 from ordersight.sources.csv_files import read_raw
 from ordersight.sources.published import refresh_all
-from ordersight.sources.star_tables import StarHome, create_star, run_etl
+from ordersight.sources.star_tables import StarHome, run_etl, stored_star
 
 REPORTS = {
     operator.__name__: operator
@@ -63,6 +64,7 @@ def main(arguments: list[str] | None = None) -> None:
     etl.add_argument("raw")
     etl.add_argument("home")
     etl.add_argument("--snapshots")
+    etl.add_argument("--file", action="append", default=[], metavar="DATASET=NAME", help="a dataset's file below RAW")
     report = commands.add_parser("report")
     report.add_argument("name", choices=sorted(REPORTS))
     report.add_argument("home")
@@ -75,13 +77,17 @@ def main(arguments: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = build_session()
     home = StarHome(options.home, options.database, options.buckets)
-    if options.command == "etl":
-        run_etl(read_raw(spark, options.raw), home, options.snapshots)
-    elif options.command == "report":
-        result = REPORTS[options.name](create_star(spark, home))
-        result.write.mode("overwrite").option("header", True).csv(options.out)
-    else:
-        refresh_all(create_star(spark, home), options.marts, database=options.database)
+    try:
+        if options.command == "etl":
+            files = dict(pair.split("=", 1) for pair in options.file)
+            run_etl(read_raw(spark, options.raw, files), home, options.snapshots)
+        elif options.command == "report":
+            result = REPORTS[options.name](stored_star(spark, home))
+            result.write.mode("overwrite").option("header", True).csv(options.out)
+        else:
+            refresh_all(stored_star(spark, home), options.marts, database=options.database)
+    finally:
+        drop_stored(spark)
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """Column expressions shared by the operators."""
 
-from ordersight.functions.coerce import strip_lower, to_day, to_money, to_number
+from ordersight.functions.coerce import strip_lower, to_day, to_money, to_number, to_whole
 from ordersight.functions.numbers import percent, ratio, round_to, whole_percent
 
 __all__ = [
@@ -11,5 +11,6 @@ __all__ = [
     "to_day",
     "to_money",
     "to_number",
+    "to_whole",
     "whole_percent",
 ]

@@ -19,5 +19,16 @@ def to_number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def to_whole(text: Column) -> Column:
+    """An INT, also from texts like ``1.0``."""
+    number = to_number(text)
+    return F.when(number == F.floor(number), number.try_cast("int"))
+
+
 def to_money(text: Column) -> Column:
-    return text.try_cast("decimal(10,2)")
+    """DECIMAL(10,2); a number that does not fit fails with its text instead of being lost."""
+    number, exact = to_number(text), text.try_cast("decimal(38,2)")
+    finite = ~F.isnan(number) & (F.abs(number) != float("inf"))
+    too_large = finite & (exact.isNull() | (F.abs(exact) >= 10**8))
+    failure = F.raise_error(F.concat(F.lit("amount does not fit DECIMAL(10,2): "), text))
+    return F.when(too_large, failure).otherwise(exact).cast("decimal(10,2)")

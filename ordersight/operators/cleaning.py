@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ordersight.functions import strip_lower, to_day, to_money, to_number
+from ordersight.functions import strip_lower, to_day, to_money, to_number, to_whole
 from ordersight.plans.first_row import keep_first
 
 FILE_ORDER = ["_file", "_block", "_row"]
@@ -112,7 +112,7 @@ def clean_order_items(df: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("decimal(10,2)")
     return df.dropna(subset=REQUIRED["order_items"]).withColumns(
         {
-            "order_item_id": F.col("order_item_id").try_cast("int"),
+            "order_item_id": to_whole(F.col("order_item_id")),
             "price": F.coalesce(to_money(F.col("price")), zero),
             "freight_value": F.coalesce(to_money(F.col("freight_value")), zero),
         }
@@ -122,7 +122,7 @@ def clean_order_items(df: DataFrame) -> DataFrame:
 def clean_order_payments(df: DataFrame) -> DataFrame:
     return df.dropna(subset=REQUIRED["payments"]).withColumns(
         {
-            "payment_sequential": F.col("payment_sequential").try_cast("int"),
+            "payment_sequential": to_whole(F.col("payment_sequential")),
             "payment_installments": F.coalesce(
                 to_number(F.col("payment_installments")), F.lit(1.0)
             ).cast("int"),

@@ -6,26 +6,15 @@ outlives lost executors and is not computed again by later steps.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary one in local mode."""
+    """``spark.checkpoint.dir`` of the session, or else a folder in its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="ordersight-")
-    return _local_folders[application]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
 
 
 def run_folder(spark: SparkSession) -> str:

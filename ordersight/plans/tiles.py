@@ -1,8 +1,7 @@
 """NTILE over a whole table without sorting it in one task.
 
-A window without PARTITION BY moves every row to a single task, which is right
-only for a table of a checked, small size. Beyond that all measures are
-range-sorted together across the cluster; the only values taken to the driver
+A window without PARTITION BY moves every row to a single task. Here all measures
+are range-sorted together across the cluster; the only values taken to the driver
 are one row count per sorted partition and the first row of each tile.
 """
 
@@ -13,47 +12,28 @@ from functools import reduce
 from itertools import accumulate
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordersight.plans.shared_store import store
 
 KEY_TYPE = "decimal(38,2)"
 SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
-MAX_WINDOW_ROWS = 200_000
 
 
 def add_ntiles(
     df: DataFrame,
     measures: dict[str, Column],
     tiebreak: str,
-    row_bound: DataFrame,
     tiles: int = 5,
-    max_rows: int = MAX_WINDOW_ROWS,
 ) -> DataFrame:
     """Add one INT column per measure holding ``ntile(tiles)``.
 
     Every measure is a numeric column read in ascending order (negate it for
     descending order), at most two decimals, not NULL. ``tiebreak`` must be
-    unique. Matches ``ntile(tiles) OVER (ORDER BY measure, tiebreak)``.
-
-    ``row_bound`` is a table, quick to count, with at least as many rows as
-    ``df``; up to ``max_rows`` the window itself is used.
+    unique; one NULL comes before all others. Matches
+    ``ntile(tiles) OVER (ORDER BY measure, tiebreak NULLS FIRST)``.
     """
-    if row_bound.count() <= max_rows:
-        return df.select(
-            "*",
-            *[
-                F.ntile(tiles).over(Window.orderBy(value, tiebreak)).alias(name)
-                for name, value in measures.items()
-            ],
-        )
-    return _spread_ntiles(df, measures, tiebreak, tiles)
-
-
-def _spread_ntiles(
-    df: DataFrame, measures: dict[str, Column], tiebreak: str, tiles: int
-) -> DataFrame:
     names = list(measures)
     payload = [name for name in df.columns if name != tiebreak]
     keys = F.array(
@@ -111,8 +91,12 @@ def _spread_ntiles(
         for cut in cuts:
             if cut["_measure"] == at:
                 cut_key = F.lit(cut["_key"]).cast(KEY_TYPE)
-                cut_tie = F.lit(cut[tiebreak]).cast(tie_type)
-                reached = (key > cut_key) | ((key == cut_key) & (F.col(tiebreak) >= cut_tie))
+                # NULL is the smallest tie-break, so it is reached by all and reaches no other.
+                tied = F.lit(True)
+                if cut[tiebreak] is not None:
+                    cut_tie = F.lit(cut[tiebreak]).cast(tie_type)
+                    tied = F.coalesce(F.col(tiebreak) >= cut_tie, F.lit(False))
+                reached = (key > cut_key) | ((key == cut_key) & tied)
                 score = score + F.when(reached, 1).otherwise(0)
         return score.cast("int").alias(name)
 

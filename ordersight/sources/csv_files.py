@@ -97,6 +97,8 @@ def _read_csv(
     reader = (
         spark.read.schema(StructType([StructField(name, StringType()) for name in header]))
         .option("header", True)
+        # A part file with its columns in another order fails rather than being read by place.
+        .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)

@@ -101,6 +101,16 @@ def read_star(spark: SparkSession, home: StarHome) -> StarSchema:
     return StarSchema(**{name: reader(name) for name in STAR_SCHEMAS})
 
 
+def stored_star(spark: SparkSession, home: StarHome) -> StarSchema:
+    """The tables of a home that was loaded before; a home without them is an error."""
+    for name in STAR_SCHEMAS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home.path(name))
+        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            raise FileNotFoundError(f"{home.root} holds no table {name}; run etl first")
+    # Tables that are there are only registered, so a new session finds them.
+    return create_star(spark, home) if home.database else read_star(spark, home)
+
+
 def store_star(star: StarSchema, home: StarHome) -> StarSchema:
     """Append whole tables, as they are, to a new home."""
     spark = star.fact_orders.sparkSession
@@ -136,7 +146,10 @@ def new_rows(
                 for key in keys
             }
         )
-    return checked.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
+    # Only the stored keys that the batch names take part, so a small batch is sent to
+    # the stored table rather than the table being shuffled.
+    stored = existing.select(*keys).join(batch.select(*keys).dropDuplicates(), keys, "left_semi")
+    return checked.join(stored, keys, "left_anti").select(*batch.columns)
 
 
 def _typed(df: DataFrame, table: str, extra: list[str] = ()) -> DataFrame:

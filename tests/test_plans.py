@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -47,8 +48,8 @@ def test_tiles_match_ntile(spark, skewed, partitions):
         measures = {"a": F.col("day"), "b": -F.coalesce("amount", F.lit(-1))}
         for size in (0, 1, 4, 5, 7, 3000):
             df = skewed.filter(F.col("id") < size)
-            mine = add_ntiles(df, measures, "id", row_bound=df, max_rows=-1)
-            plain = add_ntiles(df, measures, "id", row_bound=df)
+            mine = add_ntiles(df, measures, "id")
+            plain = df.select("id", *[F.ntile(5).over(Window.orderBy(value, "id")).alias(name) for name, value in measures.items()])
             assert sorted(values(mine, "id", "a", "b")) == sorted(values(plain, "id", "a", "b"))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
@@ -206,7 +207,7 @@ def _executed(df) -> str:
 @pytest.mark.parametrize(
     "build",
     [
-        lambda star: rfm.rfm_scored(star, max_window_rows=0),
+        rfm.rfm_scored,
         anomaly.late_deliveries,
         anomaly.payment_outliers,
         lambda star: ranking.product_ranking(star, max_group_rows=0),
@@ -217,6 +218,34 @@ def test_plans_have_no_python_no_cross_join_and_no_single_sort(random_star, buil
     plan = _executed(build(random_star))
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
-    for block in plan.split("Exchange SinglePartition")[1:]:
-        # Only one-row partial aggregates, or one row per sorted partition, meet in one task.
-        assert "partial_" in block or "last" in block
+    assert not _gathered_rows(plan)
+
+
+def _gathered_rows(plan: str) -> list[str]:
+    """Operators that hand unaggregated rows to a single task: the node below each such exchange."""
+    lines = plan.split("\n")
+    found = []
+    for at, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        below = [x for x in lines[at + 1 :] if not re.search(r"InputAdapter|ColumnarToRow|WholeStageCodegen|AQEShuffleRead|QueryStage", x)][0]
+        # One row a task of a partial aggregate, or the summary of a sorted partition.
+        if not re.search(r"functions=\[(partial_|max_by|last)", below) and "Aggregate" not in below:
+            found.append(below.strip())
+    return found
+
+
+def test_the_guard_refuses_a_window_over_everything(skewed):
+    """The plain NTILE brings every row to one task."""
+    plain = skewed.select("id", F.ntile(5).over(Window.orderBy("day", "id")).alias("tile"))
+    assert _gathered_rows(_executed(plain))
+    assert not _gathered_rows(_executed(skewed.agg(F.max("id"))))
+
+
+def test_a_missing_tiebreak_on_each_border(spark):
+    """The row without id comes before its equals, also when a tile begins with it."""
+    for border in range(1, 5):
+        rows = [(None if i == 2 * border else i, 0 if i >= 2 * border else -1) for i in range(10)]
+        df = spark.createDataFrame(rows, "id INT, v INT").repartition(3)
+        plain = df.select("id", F.ntile(5).over(Window.orderBy("v", "id")).alias("a"))
+        assert sorted(values(add_ntiles(df, {"a": F.col("v")}, "id"), "id", "a"), key=str) == sorted(values(plain), key=str)

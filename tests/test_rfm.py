@@ -43,25 +43,23 @@ def test_reference_date_is_the_day_after_the_last_order(seven):
     assert values(rfm.rfm_raw(seven).filter("customer_unique_id = 'u1'"), "recency_days") == [(1,)]
 
 
-@pytest.mark.parametrize("max_window_rows", [0, 1000])
-def test_scores_split_seven_into_2_2_1_1_1(seven, max_window_rows):
-    scored = rfm.rfm_scored(seven, REF, max_window_rows=max_window_rows).orderBy("customer_unique_id")
+def test_scores_split_seven_into_2_2_1_1_1(seven):
+    scored = rfm.rfm_scored(seven, REF).orderBy("customer_unique_id")
     assert [row[0] for row in values(scored, "recency_score")] == [1, 1, 2, 2, 3, 4, 5]
     # u1 and u2 bought twice; the rest tie and follow their id.
     assert [row[0] for row in values(scored, "frequency_score")] == [1, 1, 2, 2, 3, 4, 5]
     assert [row[0] for row in values(scored, "monetary_score")] == [5, 4, 3, 2, 2, 1, 1]
-    best = rfm.rfm_scored(seven, REF, high_is_best=True, max_window_rows=max_window_rows)
+    best = rfm.rfm_scored(seven, REF, high_is_best=True)
     assert [row[0] for row in values(best.orderBy("customer_unique_id"), "recency_score")] == [5, 4, 3, 2, 2, 1, 1]
 
 
-@pytest.mark.parametrize("max_window_rows", [0, 1000])
-def test_fewer_than_five_people(make_star, max_window_rows):
+def test_fewer_than_five_people(make_star):
     star = make_star(
         customers=[("a", "a"), ("b", "b"), ("c", "c")],
         orders=[order(x, x, f"2018-01-0{i}") for i, x in enumerate("abc", 1)],
         payments=[(x, 1, "card", 1, i) for i, x in enumerate("abc", 1)],
     )
-    scored = rfm.rfm_scored(star, max_window_rows=max_window_rows).orderBy("customer_unique_id")
+    scored = rfm.rfm_scored(star).orderBy("customer_unique_id")
     assert values(scored, "recency_score", "frequency_score", "monetary_score") == [
         (3, 1, 3),
         (2, 2, 2),
@@ -70,7 +68,7 @@ def test_fewer_than_five_people(make_star, max_window_rows):
 
 
 def test_no_people(make_star):
-    assert rfm.rfm_scored(make_star(), REF, max_window_rows=-1).count() == 0
+    assert rfm.rfm_scored(make_star(), REF).count() == 0
 
 
 def test_rules_cover_all_scores(spark):
