@@ -80,6 +80,9 @@ def kpi_general(star: StarSchema) -> DataFrame:
     active = (
         star.fact_order_items.select("order_id", "seller_id", "product_id")
         .join(counted, "order_id", "left_semi")
+        # Pairs first: the two distinct counts then repeat these rather than all lines.
+        .select("seller_id", "product_id")
+        .distinct()
         .agg(
             F.struct(
                 F.count_distinct("seller_id").alias("sellers"),
@@ -149,19 +152,25 @@ def top_categories(star: StarSchema) -> DataFrame:
     products = star.dim_products.filter(F.col("product_category_name").isNotNull()).select(
         "product_id", F.col("product_category_name").alias("category")
     )
-    by_category = (
-        order_products(star)
+    sums = ["revenue", "line_rows", "score_sum", "scored_rows"]
+    lines = order_products(star)
+    # A best-selling product meets its category as one row of sums.
+    by_product = lines.groupBy("product_id").agg(*[F.sum(name).alias(name) for name in sums])
+    totals = (
+        by_product.join(products, "product_id")
+        .groupBy("category")
+        .agg(F.count("*").alias("unique_products"), *[F.sum(name).alias(name) for name in sums])
+    )
+    # Its orders may be spread over tasks here, as neither side comes from a bucket scan.
+    orders = (
+        lines.select("order_id", "product_id")
         .join(products, "product_id")
+        .select("category", "order_id")
+        .distinct()
         .groupBy("category")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("product_id").alias("unique_products"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("line_rows").alias("line_rows"),
-            F.sum("score_sum").alias("score_sum"),
-            F.sum("scored_rows").alias("scored_rows"),
-        )
+        .agg(F.count("*").alias("total_orders"))
     )
+    by_category = totals.join(orders, "category")
     # From here on there is one row per category.
     return by_category.select(
         "category",

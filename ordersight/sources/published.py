@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ordersight.operators import marts
-from ordersight.plans.per_order import payment_totals
-from ordersight.plans.shared_store import store
 from ordersight.star import StarSchema
 
 MARTS = [
@@ -20,36 +19,64 @@ MARTS = [
 ]
 
 
+KEPT_VERSIONS = 2
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Finished versions below ``folder``, oldest first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = sorted(status.getPath().getName() for status in files.listStatus(path))
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [name for name in names if files.exists(done(f"{folder}/{name}/_SUCCESS"))]
+
+
 def publish_mart(df: DataFrame, root: str, name: str, database: str | None = None) -> str:
-    """Replace the stored result ``name``; results are small, so one file each.
+    """Store a new version of the result ``name``; results are small, so one file each.
 
-    With ``database`` it is also the table ``mv_<name>`` there.
+    Readers keep the version before until the new one is complete. With ``database``
+    the table ``mv_<name>`` there is pointed to the new version.
     """
-    path = f"{root}/{name}"
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    spark, folder = df.sparkSession, f"{root}/{name}"
+    earlier = _versions(spark, folder)
+    path = f"{folder}/v{time.time_ns():020d}"
+    df.coalesce(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
     if database:
-        spark = df.sparkSession
+        table = f"{database}.mv_{name}"
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.mv_{name} USING parquet LOCATION '{path}'")
-        spark.catalog.refreshTable(f"{database}.mv_{name}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    for old in earlier[: 1 - KEPT_VERSIONS]:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{old}")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     return path
 
 
 def refresh_all(
     star: StarSchema, root: str, ref_date: date | None = None, database: str | None = None
 ) -> None:
-    """Compute and store all five results; payments are summed once for all."""
-    shared = star.replace(payment_totals=store(payment_totals(star)))
+    """Compute and store all five results.
+
+    Payments are summed by order in each; stored once they would lose the buckets
+    of the payment table, and every join by order would shuffle.
+    """
     results = {
-        "kpi_general": marts.kpi_general(shared),
-        "revenue_monthly": marts.revenue_monthly(shared),
-        "top_categories": marts.top_categories(shared),
-        "delivery_performance": marts.delivery_performance(shared),
-        "rfm_segments": marts.rfm_segments_mart(shared, ref_date),
+        "kpi_general": marts.kpi_general(star),
+        "revenue_monthly": marts.revenue_monthly(star),
+        "top_categories": marts.top_categories(star),
+        "delivery_performance": marts.delivery_performance(star),
+        "rfm_segments": marts.rfm_segments_mart(star, ref_date),
     }
     for name, df in results.items():
         publish_mart(df, root, name, database)
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    """The last complete version."""
+    versions = _versions(spark, f"{root}/{name}")
+    if not versions:
+        raise FileNotFoundError(f"{root} holds no result {name}")
+    return spark.read.parquet(f"{root}/{name}/{versions[-1]}")
