@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,9 +43,11 @@ from ordersight.plans.shared_store import store
 WINDOW = 50
 GRAM = 20
 #: Bytes of text whose segments make one bucket.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
 #: Different segments of one hash beyond which they are cut into windows.
 CROWD = 500
+#: Bytes of segments refined at once (hashes are kept whole).
+BLOCK_BYTES = 1 << 18
 
 _FOUND = "kind int, doc long, ranges binary, starts binary, windows binary"
 _ENTRIES = "bucket int, gram binary, content binary, doc binary, start binary, windows binary"
@@ -81,27 +83,29 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return owners, starts - offsets[owners], ends - starts, least[starts], content
 
 
-def _pack(bucket: int, gram, content, doc, start, windows) -> tuple:
-    return (
-        bucket,
-        gram.astype("<u8").tobytes(),
-        content.astype("<u8").tobytes(),
-        doc.astype("<i8").tobytes(),
-        start.astype("<u4").tobytes(),
-        windows.astype("<u4").tobytes(),
-    )
+_KINDS = ("<u4", "<u8", "<i8", "<u4", "<u4")
+_NAMES = ("gram", "content", "doc", "start", "windows")
 
 
-def _settle(gram, content, doc, start, windows):
-    """Split entries into (kept: those of the smallest document per segment), (others).
+def _pack(values: np.ndarray, kind: str) -> bytes:
+    """Byte planes of an array: equal high bytes stand together and compress well."""
+    flat = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1)
+    return flat.T.tobytes()
 
-    Entries come back sorted by hash and content.
-    """
-    order = np.lexsort((start, doc, content, gram))
+
+def _unpack(packed: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def _settle(gram, content, doc, start, windows):
+    """Split entries into (those of the smallest document per segment), (others); the first sorted by hash and content."""
+    order = np.lexsort((content, gram))
     gram, content, doc, start, windows = (x[order] for x in (gram, content, doc, start, windows))
-    new = np.ones(len(gram), bool)
-    new[1:] = (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
-    least = doc[new][np.cumsum(new) - 1] if len(doc) else doc
+    if not len(gram):
+        return [gram, content, doc, start, windows], [doc, start, windows]
+    new = np.append(True, (gram[1:] != gram[:-1]) | (content[1:] != content[:-1]))
+    least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
     kept = doc == least
     return [x[kept] for x in (gram, content, doc, start, windows)], [x[~kept] for x in (doc, start, windows)]
 
@@ -145,22 +149,25 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
             if not parts:
                 continue
             gram, content, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
-            kept, (doc, start, windows) = _settle(gram, content, doc, start, windows)
+            # The bucket and 32 more bits of the hash; 48 bits of the content's hash are enough beside it.
+            spread = byte_words.mix(gram)
+            place = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            gram = spread & np.uint64(0xFFFFFFFF)
+            content = content >> np.uint64(16)
+            kept, (doc, start, windows) = _settle(gram | (place.astype(np.uint64) << np.uint64(32)), content, doc, start, windows)
             rows = []
-            place = ((kept[0] >> np.uint64(32)) ^ (kept[0] * np.uint64(0x9E3779B1))) % np.uint64(buckets)
-            order = np.argsort(place, kind="stable")
-            bounds = np.searchsorted(place[order], np.arange(buckets + 1))
-            for bucket in range(buckets):
-                mine = order[bounds[bucket] : bounds[bucket + 1]]
-                if len(mine):
-                    mine = mine[np.argsort(kept[2][mine], kind="stable")]
-                    rows.append(_pack(bucket, *(x[mine] for x in kept)))
+            bounds = np.searchsorted(kept[0] >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+            for bucket in np.flatnonzero(np.diff(bounds)):
+                mine = bounds[bucket] + np.argsort(kept[2][bounds[bucket] : bounds[bucket + 1]], kind="stable")
+                rows.append((int(bucket), *(_pack(x[mine], kind) for x, kind in zip(kept, _KINDS))))
             if len(doc):
                 # Settled here: dealt by document instead, as ranges to remove.
                 home = doc % buckets
-                for bucket in np.unique(home):
-                    mine = np.flatnonzero(home == bucket)
-                    rows.append((int(bucket), None, None, doc[mine].astype("<i8").tobytes(), start[mine].astype("<u4").tobytes(), windows[mine].astype("<u4").tobytes()))
+                order = np.argsort(home, kind="stable")
+                bounds = np.searchsorted(home[order], np.arange(buckets + 1))
+                for bucket in np.flatnonzero(np.diff(bounds)):
+                    mine = order[bounds[bucket] : bounds[bucket + 1]]
+                    rows.append((int(bucket), None, None, *(_pack(x[mine], kind) for x, kind in zip((doc, start, windows), _KINDS[2:]))))
             columns = list(zip(*rows))
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -171,94 +178,104 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(cut, _ENTRIES)
 
 
+def _compare_bucket(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    local = [[_unpack(x, kind) for x, kind in zip(row[2:], _KINDS[2:])] for row in held if row[0] is None]
+    shared = [[_unpack(x, kind) for x, kind in zip(row, _KINDS)] for row in held if row[0] is not None]
+    columns = [np.concatenate(x) for x in zip(*shared)] if shared else [np.zeros(0, kind) for kind in _KINDS]
+    (gram, content, doc, start, windows), equal = _settle(*columns)
+    gone, at, width = (np.concatenate(x) for x in zip(*local, equal))
+    if len(gone):
+        at = at.astype(np.int64)
+        yield _removed_batch(gone, at, at + width + WINDOW - 1)
+    if not len(gram):
+        return
+    # Hashes with one segment are done; the others need their bytes.
+    new_gram = np.append(True, gram[1:] != gram[:-1])
+    group = np.cumsum(new_gram) - 1
+    new_content = np.append(True, content[1:] != content[:-1]) | new_gram
+    different = np.bincount(group, new_content).astype(np.int64)
+    firsts = np.minimum.reduceat(doc, np.flatnonzero(new_gram))
+    lasts = np.maximum.reduceat(doc, np.flatnonzero(new_gram))
+    crowd = (different > CROWD)[group]
+    for kind, chosen in ((0, ~crowd), (1, crowd)):
+        unsettled = np.flatnonzero((different > 1)[group] & (firsts < lasts)[group] & chosen)
+        unsettled = unsettled[np.argsort(doc[unsettled], kind="stable")]
+        ids, first = np.unique(doc[unsettled], return_index=True)
+        pieces = [unsettled[a:b] for a, b in zip(first, np.append(first[1:], len(unsettled)))]
+        if len(ids):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(ids), kind, np.int32)),
+                    pa.array(ids),
+                    *(pa.array([x[p].astype(t).tobytes() for p in pieces], pa.binary()) for x, t in ((gram, "<u8"), (start, "<u4"), (windows, "<u4"))),
+                ],
+                ["kind", "doc", "ranges", "starts", "windows"],
+            )
+
+
 def _compare(entries: DataFrame) -> DataFrame:
     """Per bucket: ranges to remove (kind -1), and segments to settle on bytes (kind 0, or 1 in a crowd)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[bytes]] = [[], [], [], [], []]
-        gone, at, width = [], [], []
+        held: list[tuple] = []
+        current = None
         for batch in batches:
-            grams, contents, docs, starts, widths = (batch.column(n).to_pylist() for n in ("gram", "content", "doc", "start", "windows"))
-            for gram, content, doc, start, windows in zip(grams, contents, docs, starts, widths):
-                if gram is None:
-                    gone.append(np.frombuffer(doc, "<i8"))
-                    at.append(np.frombuffer(start, "<u4"))
-                    width.append(np.frombuffer(windows, "<u4"))
-                else:
-                    for box, value in zip(held, (gram, content, doc, start, windows)):
-                        box.append(value)
-        kinds = ("<u8", "<u8", "<i8", "<u4", "<u4")
-        columns = [np.frombuffer(b"".join(box), kind) for box, kind in zip(held, kinds)]
-        held.clear()
-        (gram, content, doc, start, windows), equal = _settle(*columns)
-        del columns
-        gone, at, width = (np.concatenate([*box, more]) for box, more in zip((gone, at, width), equal))
-        if len(gone):
-            at = at.astype(np.int64)
-            yield _removed_batch(gone, at, at + width + WINDOW - 1)
-        if not len(gram):
-            return
-        # Hashes with one segment are done; the others need their bytes.
-        new_gram = np.append(True, gram[1:] != gram[:-1])
-        group = np.cumsum(new_gram) - 1
-        new_content = np.append(True, (content[1:] != content[:-1])) | new_gram
-        different = np.bincount(group, new_content).astype(np.int64)
-        firsts = np.minimum.reduceat(doc, np.flatnonzero(new_gram))
-        lasts = np.maximum.reduceat(doc, np.flatnonzero(new_gram))
-        crowd = (different > CROWD)[group]
-        for kind, chosen in ((0, ~crowd), (1, crowd)):
-            open_ = np.flatnonzero((different > 1)[group] & (firsts < lasts)[group] & chosen)
-            open_ = open_[np.argsort(doc[open_], kind="stable")]
-            ids, at = np.unique(doc[open_], return_index=True)
-            pieces = [open_[a:b] for a, b in zip(at, np.append(at[1:], len(open_)))]
-            for k in range(0, len(ids), 10_000):
-                part = pieces[k : k + 10_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(part), kind, np.int32)),
-                        pa.array(ids[k : k + 10_000]),
-                        pa.array([gram[p].astype("<u8").tobytes() for p in part], pa.binary()),
-                        pa.array([start[p].astype("<u4").tobytes() for p in part], pa.binary()),
-                        pa.array([windows[p].astype("<u4").tobytes() for p in part], pa.binary()),
-                    ],
-                    ["kind", "doc", "ranges", "starts", "windows"],
-                )
+            rows = zip(batch.column("bucket").to_pylist(), *(batch.column(n) for n in _NAMES))
+            for bucket, *packed in rows:
+                if bucket != current and held:
+                    yield from _compare_bucket(held)
+                    held = []
+                current = bucket
+                held.append(tuple(x.as_py() for x in packed))
+        if held:
+            yield from _compare_bucket(held)
 
     return entries.mapInArrow(gather, _FOUND)
 
 
+def _sorted_pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (first, second), both below 2**21 for short strings; and where the pair changes."""
+    n = len(first)
+    if n < 1 << 20:
+        packed = (first.astype(np.uint64) << np.uint64(42)) | (second.astype(np.uint64) << np.uint64(21)) | np.arange(n, dtype=np.uint64)
+        packed.sort()
+        key = packed >> np.uint64(21)
+        order = (packed & np.uint64((1 << 21) - 1)).astype(np.int64)
+    else:
+        order = np.lexsort((second, first))
+        key = first[order] * (n + 1) + second[order]
+    return order, np.append(True, key[1:] != key[:-1])
+
+
 def bwt_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order of a string and, along it, the group with a common prefix of ``length``.
 
-    Separators in ``symbols`` must differ from each other and end the string.
+    ``symbols`` are ranks from 0; separators must differ from each other and end the string.
     The order comes from prefix doubling. Then all strings are extended backward
     breadth first: place j of the order holds the symbol of the transform that
     stood at ``source[j]``, so it stays with place j - 1 in step k only if the sources
     were together in step k - 1.
     """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
-    key = symbols[order]
-    apart = np.append(True, key[1:] != key[:-1])
+    order, apart = _sorted_pairs(np.unique(symbols, return_inverse=True)[1], np.zeros(n, np.int64))
     rank = np.empty(n, np.int64)
     rank[order] = np.cumsum(apart) - 1
-    step = 1
+    step, new = 1, apart
     while rank[order[-1]] < n - 1:
         follow = np.zeros(n, np.int64)
         follow[:-step] = rank[step:] + 1
-        key = rank * (n + 1) + follow
-        order = np.argsort(key)
-        key = key[order]
-        rank[order] = np.cumsum(np.append(False, key[1:] != key[:-1]))
+        order, new = _sorted_pairs(rank, follow)
+        rank[order] = np.cumsum(new) - 1
         step *= 2
     transform = symbols[order - 1]
-    source = np.argsort(transform, kind="stable")
-    together = np.flatnonzero(~apart)
+    source = np.argsort(transform, kind="stable").astype(np.int32)
+    together = np.flatnonzero(~apart).astype(np.int32)
+    here, before = source[together], source[together - 1]
     for _ in range(1, length):
-        group = np.cumsum(apart)
-        cut = group[source[together]] != group[source[together - 1]]
+        group = np.cumsum(apart, dtype=np.int32)
+        cut = group[here] != group[before]
         apart[together[cut]] = True
-        together = together[~cut]
+        together, here, before = together[~cut], here[~cut], before[~cut]
         if not len(together):
             break
     return order, np.cumsum(apart) - 1
@@ -285,47 +302,55 @@ def smaller_elsewhere(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
 _PIECES = "bucket long, crowd boolean, doc long, start int, piece binary"
 
 
+def _cut_pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
+    rows: list[tuple] = []
+    for doc, parts, text in zip(batch.column("doc").to_pylist(), batch.column("parts").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        for part in parts:
+            columns = (np.frombuffer(part[n], t).tolist() for n, t in (("ranges", "<i8"), ("starts", "<u4"), ("windows", "<u4")))
+            for gram, start, count in zip(*columns):
+                if part["kind"] == 0:
+                    rows.append((gram, False, doc, start, text[start : start + count + WINDOW - 1]))
+                else:
+                    rows += [(gram, True, doc, at, text[at : at + WINDOW]) for at in range(start, start + count)]
+    columns = list(zip(*rows)) or [[]] * 5
+    types = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "crowd", "doc", "start", "piece"])
+
+
 def _pieces(joined: DataFrame) -> DataFrame:
     """The bytes of the segments to settle."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            texts = batch.column("text").cast(pa.binary())
-            for kind, doc, grams, starts, windows, text in zip(
-                *(batch.column(n).to_pylist() for n in ("kind", "doc", "ranges", "starts", "windows")), texts.to_pylist()
-            ):
-                for gram, start, count in zip(np.frombuffer(grams, "<i8").tolist(), np.frombuffer(starts, "<u4").tolist(), np.frombuffer(windows, "<u4").tolist()):
-                    if kind == 0:
-                        rows.append((gram, False, doc, start, text[start : start + count + WINDOW - 1]))
-                    else:
-                        for at in range(start, start + count):
-                            rows.append((gram, True, doc, at, text[at : at + WINDOW]))
-            for k in range(0, len(rows), 20_000):
-                columns = list(zip(*rows[k : k + 20_000]))
-                types = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "crowd", "doc", "start", "piece"])
+            for at in range(0, batch.num_rows, 100):
+                yield _cut_pieces(batch.slice(at, 100))
 
     return joined.mapInArrow(cut, _PIECES)
 
 
 def _settle_on_bytes(pieces: DataFrame) -> DataFrame:
-    """Per partition: segments of the same hashes are together; their repeated windows."""
+    """Repeated windows of segments; those of a hash stand together, a block of hashes is one string."""
+
+    def block(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        doc = np.array([row[1] for row in held], np.int64)
+        hits = smaller_elsewhere([row[3] for row in held], doc)
+        gone = [np.full(int(h.sum()), row[1], np.int64) for row, h in zip(held, hits)]
+        at = np.concatenate([row[2] + np.flatnonzero(h) for row, h in zip(held, hits)])
+        if len(at):
+            yield _removed_batch(np.concatenate(gone), at, at + WINDOW)
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [batch for batch in batches if batch.num_rows]
-        if not held:
-            return
-        whole = pa.Table.from_batches(held)
-        doc = whole.column("doc").to_numpy()
-        start = whole.column("start").to_numpy().astype(np.int64)
-        hits = smaller_elsewhere(whole.column("piece").to_pylist(), doc)
-        widths = np.array([len(h) for h in hits])
-        flat = np.concatenate(hits)
-        at = np.concatenate([s + np.arange(w) for s, w in zip(start, widths)])[flat]
-        gone = np.repeat(doc, widths)[flat]
-        if len(gone):
-            yield _removed_batch(gone, at, at + WINDOW)
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            for row in zip(*(batch.column(n).to_pylist() for n in ("bucket", "doc", "start", "piece"))):
+                if size > BLOCK_BYTES and row[0] != held[-1][0]:
+                    yield from block(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[3]) + 1
+        if held:
+            yield from block(held)
 
     return pieces.mapInArrow(refine, _FOUND)
 
@@ -344,31 +369,35 @@ def _settle_crowd(windows: DataFrame) -> DataFrame:
     return gone.mapInArrow(to_ranges, _FOUND)
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
+def _key() -> Column:
+    return F.col("row.doc_id").cast("long")
+
+
+def _ranges(rows: DataFrame) -> DataFrame:
     """(doc, ranges): packed byte ranges to remove; a document may have several rows."""
-    spark = docs.sparkSession
-    known = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shapes = known.groupBy("doc_id").agg(
-        F.sum(text_bytes(F.col("text"))).alias("size"), (F.min(F.xxhash64("text")) != F.max(F.xxhash64("text"))).alias("unclear")
-    )
-    total, unclear = shapes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count_if("unclear")).first()
-    if unclear:
-        known = known.join(shapes.where("unclear"), "doc_id", "left_anti")
-    buckets = partitions_for(total, BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = store(_compare(_entries(known, buckets).repartition(buckets, "bucket")))
-    unsettled = found.where("kind >= 0").hint("shuffle_hash")
-    pieces = store(_pieces(known.join(unsettled, known.doc_id == unsettled.doc).select("kind", "doc", "ranges", "starts", "windows", "text")))
-    by_bytes = _settle_on_bytes(pieces.where("not crowd").repartition(buckets, "bucket"))
-    by_crowd = _settle_crowd(pieces.where("crowd"))
-    ranges = [part.select("doc", "ranges") for part in (found.where("kind < 0"), by_bytes, by_crowd)]
+    spark = rows.sparkSession
+    known = rows.select(_key().alias("doc_id"), "row.text")
+    total = known.agg(F.coalesce(F.sum(text_bytes(F.col("text"))), F.lit(0))).first()[0]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = partitions_for(total, BUCKET_BYTES, 4 * parts)
+    entries = _entries(known, buckets).repartition(partitions_for(buckets, 4, parts), "bucket")
+    found = store(_compare(entries.sortWithinPartitions("bucket")))
+    # One row a document, so that its text is handed on once.
+    parts_of = F.collect_list(F.struct("kind", "ranges", "starts", "windows")).alias("parts")
+    unsettled = found.where("kind >= 0").groupBy("doc").agg(parts_of).hint("shuffle_hash")
+    joined = rows.join(unsettled, _key() == F.col("doc"))
+    pieces = _pieces(joined.select("doc", "parts", F.col("row.text").alias("text")))
+    plain = pieces.where("not crowd").repartition(partitions_for(buckets, 4, parts), "bucket").sortWithinPartitions("bucket")
+    ranges = [part.select("doc", "ranges") for part in (found.where("kind < 0"), _settle_on_bytes(plain), _settle_crowd(pieces.where("crowd")))]
     return ranges[0].unionByName(ranges[1]).unionByName(ranges[2])
 
 
-_CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
+_CUT = "n_bytes long, n_removed long, n_spans long"
 
 
-def _cut(joined: DataFrame) -> DataFrame:
-    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(_CUT).fields])
+def _cut(joined: DataFrame, as_text: bool) -> DataFrame:
+    kept_type = T.StringType() if as_text else T.BinaryType()
+    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(_CUT).fields, T.StructField("kept", kept_type)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,14 +406,16 @@ def _cut(joined: DataFrame) -> DataFrame:
             for text, blobs in zip(texts, batch.column("ranges").to_pylist()):
                 data = text.as_py() or b""
                 starts, ends = _union(blobs or [])
-                kept = data
-                if len(starts):
-                    bounds = np.column_stack([np.append(0, ends), np.append(starts, len(data))]).tolist()
+                bounds = np.column_stack([np.append(0, ends), np.append(starts, len(data))]).tolist()
+                if as_text:
+                    # Characters cut in two go whole.
+                    kept = "".join(data[a:b].decode("utf-8", "ignore") for a, b in bounds)
+                else:
                     kept = b"".join(data[a:b] for a, b in bounds)
                 facts.append((len(data), int((ends - starts).sum()), len(starts), kept))
             columns = list(zip(*facts)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
+                [batch.column("row"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string() if as_text else pa.binary())],
                 ["row", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
@@ -399,12 +430,23 @@ def _union(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return merge_ranges(*both[:, np.argsort(both[0], kind="stable")])
 
 
-def remove_repeats(docs: DataFrame, *columns: str) -> DataFrame:
-    """``row`` (the named columns, with ``doc_id`` and ``text``), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (bytes)."""
-    ranges = repeated_ranges(docs).groupBy("doc").agg(F.collect_list("ranges").alias("ranges"))
+def remove_repeats(docs: DataFrame, *columns: str, as_text: bool = False) -> DataFrame:
+    """``row`` (the named columns, with ``doc_id`` and ``text``), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``.
+
+    ``kept`` are the remaining bytes; with ``as_text`` a string, without characters of which a byte is removed.
+    """
     rows = as_rows(docs, *columns)
-    joined = rows.join(ranges.hint("shuffle_hash"), F.col("row.doc_id").cast("long") == F.col("doc"), "left")
-    return _cut(joined.select("row", "ranges"))
+    shapes = rows.groupBy(_key().alias("doc")).agg((F.min(F.xxhash64("row.text")) != F.max(F.xxhash64("row.text"))).alias("unclear"))
+    unclear = shapes.where("doc is not null and unclear").select("doc")
+    whole = rows.where(_key().isNull())
+    rows = rows.where(_key().isNotNull())
+    if not unclear.isEmpty():
+        whole = whole.unionByName(rows.join(unclear, _key() == F.col("doc"), "left_semi"))
+        rows = rows.join(unclear, _key() == F.col("doc"), "left_anti")
+    ranges = _ranges(rows).groupBy("doc").agg(F.collect_list("ranges").alias("ranges"))
+    # The same exchange of the documents by id serves the join in _ranges and this one.
+    joined = rows.join(ranges.hint("shuffle_hash"), _key() == F.col("doc"), "left").select("row", "ranges")
+    return _cut(joined.unionByName(whole.withColumn("ranges", F.lit(None).cast("array<binary>"))), as_text)
 
 
 def op4_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
