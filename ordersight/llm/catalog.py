@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from ordersight.llm.decontamination import OP7_SQL, op7_decontamination
+from ordersight.llm.decontamination import op7_decontamination
 from ordersight.llm.embedding_links import op8_embedding_links
+from ordersight.llm.expected_sql import EXPECTED_SQL
 from ordersight.llm.language_id import op9_language
 from ordersight.llm.near_duplicates import op6_near_duplicates
 from ordersight.llm.packing import op10_packing
@@ -15,16 +16,15 @@ from ordersight.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
-    "op8_embedding_links": op8_embedding_links,
-    "op6_near_duplicates": op6_near_duplicates,
-    "op5_sharding": op5_sharding,
-    "op3_token_counts": op3_token_counts,
-    "op10_packing": op10_packing,
-    "op9_language": op9_language,
     "op2_quality": op2_quality,
+    "op3_token_counts": op3_token_counts,
     "op4_suffix_repeats": op4_suffix_repeats,
+    "op5_sharding": op5_sharding,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_decontamination": op7_decontamination,
+    "op8_embedding_links": op8_embedding_links,
+    "op9_language": op9_language,
+    "op10_packing": op10_packing,
 }
-EXPECTED_SQL = {
-    "op7_decontamination": OP7_SQL,
-}
+
+__all__ = ["EXPECTED_SQL", "QUERIES"]
