@@ -7,6 +7,8 @@ outlives lost executors and is not computed again by later steps.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,19 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored_while(df: DataFrame) -> Iterator[DataFrame]:
+    """A stored copy of ``df`` that is removed afterwards."""
+    spark = df.sparkSession
+    place = f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(place)
+        yield spark.read.schema(df.schema).parquet(place)
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(spark: SparkSession) -> bool:
     """Remove everything this application stored; call when results are used up."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ordersight.operators import cleaning
 from ordersight.plans.first_row import keep_first
-from ordersight.plans.shared_store import store
+from ordersight.plans.shared_store import stored_while
 from ordersight.sources.csv_files import write_clean
 from ordersight.star import PRIMARY_KEYS, STAR_SCHEMAS, StarSchema
 
@@ -249,11 +250,11 @@ def run_etl(
             watched, seen = cleaning.observe_rows(raw[dataset], dataset)
             clean = _clean(dataset, {dataset: watched}, order)
         load_order = [name for name in order if name in clean.columns]
-        if snapshots:
-            # Written twice, so the raw files are read and cleaned once.
-            clean = store(clean)
-            write_clean(clean.drop(*load_order), snapshots, snapshot, snapshot_format)
-        load_idempotent(clean, home, table, load_order or None, null_keys)
+        # With snapshots it is written twice, so the raw files are read and cleaned once.
+        with stored_while(clean) if snapshots else nullcontext(clean) as rows:
+            if snapshots:
+                write_clean(rows.drop(*load_order), snapshots, snapshot, snapshot_format)
+            load_idempotent(rows, home, table, load_order or None, null_keys)
         if seen is not None:
             log.info("%s: %s raw rows, %s without key", table, seen.get["rows"], seen.get["without_key"])
     return read_star(spark, home)

@@ -147,3 +147,21 @@ def test_observe_rows_counts_while_running(raw):
     watched, seen = cleaning.observe_rows(df, "payments")
     watched.collect()
     assert seen.get == {"rows": 2, "without_key": 1}
+
+
+def _items(spark, key, price):
+    columns = "order_id STRING, order_item_id STRING, product_id STRING, seller_id STRING, shipping_limit_date STRING, price STRING, freight_value STRING"
+    return spark.createDataFrame([("o", key, "p", "s", None, price, "1")], columns)
+
+
+def test_keys_written_as_decimals_are_read(spark):
+    for text, number in (("1.0", 1), ("2", 2), ("1.5", None), ("x", None)):
+        assert cleaning.clean_order_items(_items(spark, text, "3")).first().order_item_id == number
+
+
+def test_an_amount_that_does_not_fit_fails_with_its_text(spark):
+    assert str(cleaning.clean_order_items(_items(spark, "1", "99999999.99")).first().price) == "99999999.99"
+    assert str(cleaning.clean_order_items(_items(spark, "1", "no number")).first().price) == "0.00"
+    for text in ("123456789.50", "1e60"):
+        with pytest.raises(Exception, match=text):
+            cleaning.clean_order_items(_items(spark, "1", text)).collect()
