@@ -14,8 +14,8 @@ that hash, in three steps:
    order are apart if their common prefix is below k. It stops at 50, and what is
    still together are equal 50-byte strings.
 3. A hash with very many different segments (a frequent line in many contexts)
-   is first cut into its windows; equal windows are collapsed and then dealt by
-   their own content, so that no bucket gathers them.
+   is first cut into its windows. These meet like segments, by their own content, so
+   equal ones are settled where they meet and no bucket gathers the others.
 
 Documents meet their removed ranges by id. No text is gathered by key other than
 by its own id.
@@ -28,6 +28,7 @@ another text, are returned whole and remove nothing from others.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,6 +137,32 @@ def merge_ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nda
     return start[at], reach[np.append(at[1:] - 1, len(start) - 1)]
 
 
+def _packed_entries(spread, content, doc, start, windows, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries of a batch by bucket, after those that meet here are settled.
+
+    The bucket and 32 more bits of the hash, and 48 bits of the content's hash, tell segments apart.
+    """
+    place = (spread >> np.uint64(32)) % np.uint64(buckets)
+    gram = (spread & np.uint64(0xFFFFFFFF)) | (place << np.uint64(32))
+    kept, (doc, start, windows) = _settle(gram, content >> np.uint64(16), doc, start, windows)
+    rows = []
+    bounds = np.searchsorted(kept[0] >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+    for bucket in np.flatnonzero(np.diff(bounds)):
+        mine = bounds[bucket] + np.argsort(kept[2][bounds[bucket] : bounds[bucket + 1]], kind="stable")
+        rows.append((int(bucket), *(_pack(x[mine], kind) for x, kind in zip(kept, _KINDS))))
+    if len(doc):
+        # Settled here: dealt by document instead, as ranges to remove.
+        home = doc % buckets
+        order = np.argsort(home, kind="stable")
+        bounds = np.searchsorted(home[order], np.arange(buckets + 1))
+        for bucket in np.flatnonzero(np.diff(bounds)):
+            mine = order[bounds[bucket] : bounds[bucket + 1]]
+            rows.append((int(bucket), None, None, *(_pack(x[mine], kind) for x, kind in zip((doc, start, windows), _KINDS[2:]))))
+    if rows:
+        columns = list(zip(*rows))
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", *_NAMES])
+
+
 def _entries(docs: DataFrame, buckets: int) -> DataFrame:
     """Segments of all documents, packed by bucket of their hash."""
 
@@ -149,31 +176,7 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
             if not parts:
                 continue
             gram, content, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
-            # The bucket and 32 more bits of the hash; 48 bits of the content's hash are enough beside it.
-            spread = byte_words.mix(gram)
-            place = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            gram = spread & np.uint64(0xFFFFFFFF)
-            content = content >> np.uint64(16)
-            kept, (doc, start, windows) = _settle(gram | (place.astype(np.uint64) << np.uint64(32)), content, doc, start, windows)
-            rows = []
-            bounds = np.searchsorted(kept[0] >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
-            for bucket in np.flatnonzero(np.diff(bounds)):
-                mine = bounds[bucket] + np.argsort(kept[2][bounds[bucket] : bounds[bucket + 1]], kind="stable")
-                rows.append((int(bucket), *(_pack(x[mine], kind) for x, kind in zip(kept, _KINDS))))
-            if len(doc):
-                # Settled here: dealt by document instead, as ranges to remove.
-                home = doc % buckets
-                order = np.argsort(home, kind="stable")
-                bounds = np.searchsorted(home[order], np.arange(buckets + 1))
-                for bucket in np.flatnonzero(np.diff(bounds)):
-                    mine = order[bounds[bucket] : bounds[bucket + 1]]
-                    rows.append((int(bucket), None, None, *(_pack(x[mine], kind) for x, kind in zip((doc, start, windows), _KINDS[2:]))))
-            columns = list(zip(*rows))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                    ["bucket", "gram", "content", "doc", "start", "windows"],
-                )
+            yield from _packed_entries(byte_words.mix(gram), content, doc, start, windows, buckets)
 
     return docs.select("doc_id", "text").mapInArrow(cut, _ENTRIES)
 
@@ -299,22 +302,17 @@ def smaller_elsewhere(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     return [hit[f : f + max(size - WINDOW, 0)] for f, size in zip(firsts, sizes)]
 
 
-_PIECES = "bucket long, crowd boolean, doc long, start int, piece binary"
+_PIECES = "bucket long, doc long, start int, piece binary"
 
 
-def _cut_pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows: list[tuple] = []
-    for doc, parts, text in zip(batch.column("doc").to_pylist(), batch.column("parts").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+def _parts_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(hash, document, first byte, windows, text) of the segments to settle."""
+    for doc, parts, text in zip(batch.column("doc").to_pylist(), batch.column("parts").to_pylist(), batch.column("text")):
+        text = text.as_py().encode()
         for part in parts:
             columns = (np.frombuffer(part[n], t).tolist() for n, t in (("ranges", "<i8"), ("starts", "<u4"), ("windows", "<u4")))
             for gram, start, count in zip(*columns):
-                if part["kind"] == 0:
-                    rows.append((gram, False, doc, start, text[start : start + count + WINDOW - 1]))
-                else:
-                    rows += [(gram, True, doc, at, text[at : at + WINDOW]) for at in range(start, start + count)]
-    columns = list(zip(*rows)) or [[]] * 5
-    types = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "crowd", "doc", "start", "piece"])
+                yield gram, doc, start, count, text
 
 
 def _pieces(joined: DataFrame) -> DataFrame:
@@ -323,11 +321,32 @@ def _pieces(joined: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
-                yield _cut_pieces(batch.slice(at, 100))
+                rows = [(gram, doc, start, text[start : start + count + WINDOW - 1]) for gram, doc, start, count, text in _parts_of(batch.slice(at, 100))]
+                columns = list(zip(*rows)) or [[]] * 4
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "doc", "start", "piece"])
 
     return joined.mapInArrow(cut, _PIECES)
 
 
+def _crowd_entries(joined: DataFrame, buckets: int) -> DataFrame:
+    """Each window of crowded segments as an entry of its own, dealt by its content."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, doc, start = [], [], []
+            for _, owner, first, count, text in _parts_of(batch):
+                for at in range(first, first + count):
+                    digests.append(hashlib.blake2b(text[at : at + WINDOW], digest_size=16).digest())
+                    doc.append(owner)
+                    start.append(at)
+            if doc:
+                spread, content = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).T
+                yield from _packed_entries(spread, content, np.array(doc, np.int64), np.array(start, np.uint32), np.ones(len(doc), np.uint32), buckets)
+
+    return joined.mapInArrow(cut, _ENTRIES)
+
+
 def _settle_on_bytes(pieces: DataFrame) -> DataFrame:
     """Repeated windows of segments; those of a hash stand together, a block of hashes is one string."""
 
@@ -355,20 +374,6 @@ def _settle_on_bytes(pieces: DataFrame) -> DataFrame:
     return pieces.mapInArrow(refine, _FOUND)
 
 
-def _settle_crowd(windows: DataFrame) -> DataFrame:
-    """Windows of crowded hashes that a smaller document has too."""
-    windows = windows.select("doc", "start", "piece")
-    least = windows.groupBy("piece").agg(F.min("doc").alias("least"))
-    gone = windows.join(least.hint("merge"), "piece").where("doc > least").select("doc", "start")
-
-    def to_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start = batch.column("start").to_numpy().astype(np.int64)
-            yield _removed_batch(batch.column("doc").to_numpy(), start, start + WINDOW)
-
-    return gone.mapInArrow(to_ranges, _FOUND)
-
-
 def _key() -> Column:
     return F.col("row.doc_id").cast("long")
 
@@ -383,12 +388,16 @@ def _ranges(rows: DataFrame) -> DataFrame:
     entries = _entries(known, buckets).repartition(partitions_for(buckets, 4, parts), "bucket")
     found = store(_compare(entries.sortWithinPartitions("bucket")))
     # One row a document, so that its text is handed on once.
-    parts_of = F.collect_list(F.struct("kind", "ranges", "starts", "windows")).alias("parts")
-    unsettled = found.where("kind >= 0").groupBy("doc").agg(parts_of).hint("shuffle_hash")
-    joined = rows.join(unsettled, _key() == F.col("doc"))
-    pieces = _pieces(joined.select("doc", "parts", F.col("row.text").alias("text")))
-    plain = pieces.where("not crowd").repartition(partitions_for(buckets, 4, parts), "bucket").sortWithinPartitions("bucket")
-    ranges = [part.select("doc", "ranges") for part in (found.where("kind < 0"), _settle_on_bytes(plain), _settle_crowd(pieces.where("crowd")))]
+    parts_of = F.collect_list(F.struct("ranges", "starts", "windows")).alias("parts")
+
+    def with_text(kind: int) -> DataFrame:
+        unsettled = found.where(F.col("kind") == kind).groupBy("doc").agg(parts_of).hint("shuffle_hash")
+        return rows.join(unsettled, _key() == F.col("doc")).select("doc", "parts", F.col("row.text").alias("text"))
+
+    tasks = partitions_for(buckets, 4, parts)
+    plain = _pieces(with_text(0)).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    crowd = _crowd_entries(with_text(1), parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    ranges = [part.where("kind < 0").select("doc", "ranges") for part in (found, _settle_on_bytes(plain), _compare(crowd))]
     return ranges[0].unionByName(ranges[1]).unionByName(ranges[2])
 
 
