@@ -32,7 +32,7 @@ from ordersight.llm.tables import as_rows, table
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 5
-BLOCK_PAIRS = 200_000
+BLOCK_PAIRS = 100_000
 
 
 def _windows(benchmark: DataFrame, size: int) -> DataFrame:
@@ -216,8 +216,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *columns: str, blo
     for number in range(n_blocks):
         mine = [(r.window, r.item_id) for r in pairs.where(block_of == number).toLocalIterator()]
         block = _Block(mine)
-        counted = _document_frequency(texts, spark.sparkContext.broadcast(block)).collect()
-        block.keep_rarest({r.token: r.n for r in counted})
+        counted = _document_frequency(texts, spark.sparkContext.broadcast(block)).toArrow()
+        block.keep_rarest(dict(zip(counted["token"].to_pylist(), counted["n"].to_pylist())))
         rows = _with_hits(rows, spark.sparkContext.broadcast(block))
     pairs.unpersist()
     return rows

@@ -40,7 +40,7 @@ ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("block", [200_000, 7])
+@pytest.mark.parametrize("block", [100_000, 7])
 def test_odd_rows(spark, odd, block):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = decontamination.find_contamination(odd, items, "doc_id", "text", block_pairs=block)
