@@ -151,8 +151,7 @@ def _frequent_shingles(texts: DataFrame, documents: int) -> dict[int, int]:
 
     slices = texts.mapInArrow(sketch, "slice long, counts binary").repartition("slice")
     cells = np.zeros(1 << SKETCH_BITS, bool)
-    for row in slices.mapInArrow(heavy, "cell long").collect():
-        cells[row.cell] = True
+    cells[slices.mapInArrow(heavy, "cell long").toArrow()["cell"].to_numpy()] = True
     shared = spark.sparkContext.broadcast(cells)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +165,8 @@ def _frequent_shingles(texts: DataFrame, documents: int) -> dict[int, int]:
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], ["hash", "n"])
 
     counted = texts.mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return {r.hash: r.n for r in counted.collect()}
+    found = counted.toArrow()
+    return dict(zip(found["hash"].to_pylist(), found["n"].to_pylist()))
 
 
 def _signatures(docs: DataFrame, weights) -> DataFrame:
@@ -278,7 +278,9 @@ def _classes(buckets: DataFrame, signs: DataFrame, sets: DataFrame, similar: flo
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             classes = components(links)
-        leaders_a_bucket *= 4
+        # Buckets without a leader are done for good: classes only grow together.
+        buckets = cells.join(leaders.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "doc")
+        leaders_a_bucket *= 16
 
 
 def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
