@@ -95,7 +95,8 @@ def propagate(cells: DataFrame, quota: float, shards: int, rounds: int = ROUNDS)
 def _place_linked(rows: DataFrame, cells: DataFrame) -> DataFrame:
     """Every row with ``shard`` where its group is; null where it has no group."""
     total = F.aggregate("spread", F.lit(0).cast("long"), lambda s, x: s + x["n"])
-    spread = cells.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("shard", "n"))).alias("spread")).withColumn("total", total)
+    # Stored, so that the join below stands alone and a key with very many rows can be split.
+    spread = store(cells.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("shard", "n"))).alias("spread")).withColumn("total", total))
     # A group in one shard goes there whole; a larger one by the fraction of its ids.
     at = _fraction("doc_id", F.lit("place")) * F.col("total")
     start = F.struct(F.lit(0).cast("long").alias("past"), F.lit(None).cast("int").alias("shard"))
