@@ -1,7 +1,7 @@
 """Command line: load raw files, write one report, refresh the KPI tables.
 
     python -m ordersight etl RAW HOME [--snapshots DIR] [--file orders=orders_2018.csv ...]
-    python -m ordersight report NAME HOME OUT
+    python -m ordersight report NAME HOME OUT [--set ref_date=2018-09-01 ...]
     python -m ordersight refresh HOME MARTS
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+from datetime import date
 
 from ordersight.operators import anomaly, cohort, marts, quality, ranking, rfm
 from ordersight.plans.shared_store import drop_stored
@@ -46,6 +47,8 @@ REPORTS = {
         ranking.top_products,
         ranking.seller_delivery_trend,
         ranking.seller_trend_summary,
+        ranking.orders_in_range,
+        ranking.product_revenue_since,
         marts.kpi_general,
         marts.revenue_monthly,
         marts.top_categories,
@@ -55,6 +58,17 @@ REPORTS = {
 }
 
 
+def _option(pair: str) -> tuple[str, object]:
+    """``name=value`` of an operator's parameter: a date, a number or a text."""
+    name, value = pair.split("=", 1)
+    for read in (date.fromisoformat, int, float):
+        try:
+            return name, read(value)
+        except ValueError:
+            continue
+    return name, value
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ordersight")
     parser.add_argument("--database", help="register the tables here")
@@ -69,6 +83,7 @@ def main(arguments: list[str] | None = None) -> None:
     report.add_argument("name", choices=sorted(REPORTS))
     report.add_argument("home")
     report.add_argument("out")
+    report.add_argument("--set", action="append", default=[], type=_option, metavar="PARAMETER=VALUE", help="such as ref_date=2018-09-01 or n=5")
     refresh = commands.add_parser("refresh")
     refresh.add_argument("home")
     refresh.add_argument("marts")
@@ -82,7 +97,7 @@ def main(arguments: list[str] | None = None) -> None:
             files = dict(pair.split("=", 1) for pair in options.file)
             run_etl(read_raw(spark, options.raw, files), home, options.snapshots)
         elif options.command == "report":
-            result = REPORTS[options.name](stored_star(spark, home))
+            result = REPORTS[options.name](stored_star(spark, home), **dict(options.set))
             result.write.mode("overwrite").option("header", True).csv(options.out)
         else:
             refresh_all(stored_star(spark, home), options.marts, database=options.database)

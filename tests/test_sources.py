@@ -256,3 +256,18 @@ def test_command_line(spark, raw_folder, tmp_path):
     assert sorted(values(report)) == [("canceled", "1"), ("delivered", "1")]
     main(["refresh", home, str(tmp_path / "marts")])
     assert published.read_mart(spark, str(tmp_path / "marts"), "revenue_monthly").count() == 1
+    everything = ["--set", "first=1990-01-01", "--set", "last=2100-01-01"]
+    main(["report", "orders_in_range", home, str(tmp_path / "range"), *everything])
+    assert spark.read.option("header", True).csv(str(tmp_path / "range")).count() > 0
+
+
+def test_a_report_on_a_missing_star_fails(spark, tmp_path):
+    for command in (["report", "row_counts", str(tmp_path / "none"), str(tmp_path / "out")], ["refresh", str(tmp_path / "none"), str(tmp_path / "marts")]):
+        with pytest.raises(FileNotFoundError, match="run etl first"):
+            main(command)
+    assert not (tmp_path / "none").exists()
+
+
+def test_files_are_named_on_the_command_line(spark, raw_folder, tmp_path):
+    with pytest.raises(Exception, match="other.csv"):
+        main(["etl", raw_folder, str(tmp_path / "star"), "--file", "orders=other.csv"])
