@@ -9,8 +9,9 @@ round with new trees follows. Links are the neighbours with a cosine, in double
 of at least ``LEAST``.
 
 A list with nothing but links is saturated: there may be more. Such lists are
-enlarged to their whole component, whose vectors meet in pairs of blocks that count
-links without listing them.
+enlarged to their whole component and to all components with saturated lists whose balls are
+near enough for a link; their vectors meet in pairs of blocks that count
+links without listing them, and components with a link between them become one.
 
 Leaves and neighbourhoods beyond ``GROUP`` vectors are split by hash, the best
 candidates of a vector are merged within a task before they are shuffled, and blocks
@@ -229,44 +230,119 @@ def neighbour_lists(vectors: DataFrame, least: float = LEAST) -> tuple[DataFrame
     return lists, recalls
 
 
-def _count_in_components(members: DataFrame, least: float, parts: int) -> DataFrame:
-    """(id, n): links of every vector within its component (component, id, vector, copies)."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    # A block meets each block of its component once: as the first or the second of the two.
-    met = dealt.withColumn("other", F.explode(every)).select(
-        F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
-        "id", "vector", "copies", (F.col("block") <= F.col("other")).alias("first"), (F.col("block") >= F.col("other")).alias("second"),
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group, one after the other."""
+    rest = None
+    for batch in _then_none(batches):
+        parts = [t for t in (rest, pa.Table.from_batches([batch]) if batch is not None else None) if t is not None and t.num_rows]
+        if not parts:
+            continue
+        whole = pa.concat_tables(parts)
+        group = whole["group"].to_numpy()
+        edges = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+        if batch is not None:
+            # The last group may go on in the next batch.
+            rest, edges = whole.slice(int(edges[-2])), edges[:-1]
+        for a, b in zip(edges, edges[1:]):
+            yield whole.slice(int(a), int(b - a))
+
+
+def _near_components(members: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, of components that can have a link between them.
+
+    A component lies in a ball around the vector of its smallest id. Angles obey the triangle
+    inequality, so balls further apart than the angle of a link have none.
+    """
+    centres = members.where("id = component").select("component", F.col("vector").alias("centre"))
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _unit([*batch.column("vector").to_pylist(), *batch.column("centre").to_pylist()])
+                cosines = (x[: batch.num_rows] * x[batch.num_rows :]).sum(1)
+                yield pa.RecordBatch.from_arrays([batch.column("component"), pa.array(np.arccos(np.clip(cosines, -1, 1)))], ["component", "angle"])
+
+    turned = members.join(centres, "component").select("component", "vector", "centre").mapInArrow(turn, "component long, angle double")
+    balls = store(centres.join(turned.groupBy("component").agg(F.max("angle").alias("angle")), "component"))
+    blocks = -(-balls.count() // BLOCK)
+    dealt = balls.withColumn("block", F.pmod(F.xxhash64("component"), F.lit(blocks)))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))) if blocks else dealt.withColumn("other", F.col("block"))
+    met = met.select(
+        F.xxhash64(F.least("block", "other"), F.greatest("block", "other")).alias("group"),
+        "component", "centre", "angle", (F.col("block") <= F.col("other")).alias("first"), (F.col("block") >= F.col("other")).alias("second"),
     )
-
-    def tally(pair: pa.Table) -> pa.RecordBatch:
-        ids, copies = pair["id"].to_numpy(), pair["copies"].to_numpy()
-        first, second = pair["first"].to_numpy(), pair["second"].to_numpy()
-        x = _unit(pair["vector"].to_pylist())
-        close = np.clip(x[first] @ x[second].T, -1, 1) >= least
-        close &= ids[first][:, None] != ids[second][None, :]
-        n = np.zeros(len(ids), np.int64)
-        n[first] += close @ copies[second]
-        if not (first & second).all():
-            n[second] += copies[first] @ close
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["id", "n"])
+    # Beyond the rounding of an arc cosine near one.
+    reach = float(np.arccos(least)) + 1e-6
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _then_none(batches):
-            parts_ = [t for t in (rest, pa.Table.from_batches([batch]) if batch is not None else None) if t is not None]
-            if not parts_:
-                continue
-            whole = pa.concat_tables(parts_)
-            group = whole["group"].to_numpy()
-            edges = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
-            if batch is not None:
-                rest, edges = whole.slice(int(edges[-2])), edges[:-1]
-            for a, b in zip(edges, edges[1:]):
-                yield tally(whole.slice(int(a), int(b - a)))
+        for pair in _tables(batches):
+            ids, angles, x = pair["component"].to_numpy(), pair["angle"].to_numpy(), _unit(pair["centre"].to_pylist())
+            first, second = np.flatnonzero(pair["first"].to_numpy()), np.flatnonzero(pair["second"].to_numpy())
+            apart = np.arccos(np.clip(x[first] @ x[second].T, -1, 1))
+            i, j = np.nonzero(apart <= angles[first][:, None] + angles[second][None, :] + reach)
+            one, other = ids[first[i]], ids[second[j]]
+            some = one != other
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, other)[some]), pa.array(np.maximum(one, other)[some])], ["a", "b"])
+
+    return met.repartition("group").sortWithinPartitions("group").mapInArrow(meet, "a long, b long").distinct()
+
+
+def joined_ids(one: np.ndarray, other: np.ndarray, close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest id that the links ``close`` between two groups join each of them with, directly or not."""
+    most = np.iinfo(np.int64).max
+    while True:
+        new_other = np.minimum(other, np.where(close, one[:, None], most).min(0, initial=most))
+        new_one = np.minimum(one, np.where(close, new_other[None, :], most).min(1, initial=most))
+        if (new_one == one).all() and (new_other == other).all():
+            return one, other
+        one, other = new_one, new_other
+
+
+def _count_links(members: DataFrame, pairs: DataFrame, least: float, parts: int) -> DataFrame:
+    """(id, n, joined): links of the vectors (component, id, vector, copies) of each pair (a, b, join) of components.
+
+    Blocks of both components meet, or all pairs of blocks of one component. If ``join`` is set,
+    ``joined`` is the smallest id that links of the two blocks join the vector with.
+    """
+    sizes = store(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    dealt = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("component").alias(side), F.col("blocks").alias(f"blocks_{side}")), side)
+    ends = pairs.select(F.col("a").alias("component"), "a", "b", "join", F.lit(True).alias("left"), F.col("blocks_b").alias("others"))
+    ends = ends.unionByName(pairs.where("a != b").select(F.col("b").alias("component"), "a", "b", "join", F.lit(False).alias("left"), F.col("blocks_a").alias("others")))
+    met = dealt.join(ends, "component").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
+    own, left, block, other = F.col("a") == F.col("b"), F.col("left"), F.col("block"), F.col("other")
+    # A block meets each other block once: as the first or the second of the two.
+    low = F.when(own, F.least(block, other)).when(left, block).otherwise(other)
+    high = F.when(own, F.greatest(block, other)).when(left, other).otherwise(block)
+    met = met.select(
+        F.xxhash64("a", "b", low, high).alias("group"), "id", "vector", "copies", "join",
+        F.when(own, block <= other).otherwise(left).alias("first"), F.when(own, block >= other).otherwise(~left).alias("second"),
+    )
 
-    return _gathered(met, parts).mapInArrow(meet, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pair in _tables(batches):
+            ids, copies = pair["id"].to_numpy(), pair["copies"].to_numpy()
+            first, second = pair["first"].to_numpy(), pair["second"].to_numpy()
+            x = _unit(pair["vector"].to_pylist())
+            close = np.clip(x[first] @ x[second].T, -1, 1) >= least
+            close &= ids[first][:, None] != ids[second][None, :]
+            if not close.any():
+                continue
+            n, joined = np.zeros(len(ids), np.int64), ids.copy()
+            n[first] += close @ copies[second]
+            if not (first & second).all():
+                n[second] += copies[first] @ close
+            if pair["join"][0].as_py():
+                rows, columns = np.flatnonzero(close.any(1)), np.flatnonzero(close.any(0))
+                one, other = np.flatnonzero(first)[rows], np.flatnonzero(second)[columns]
+                low_one, low_other = joined_ids(ids[one], ids[other], close[np.ix_(rows, columns)])
+                np.minimum.at(joined, one, low_one)
+                np.minimum.at(joined, other, low_other)
+            some = n > 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(n[some]), pa.array(joined[some])], ["id", "n", "joined"])
+
+    return _gathered(met, parts).mapInArrow(tally, "id long, n long, joined long")
 
 
 def embedding_links(vectors: DataFrame, least: float = LEAST) -> DataFrame:
@@ -282,13 +358,20 @@ def embedding_links(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     classes = components(links)
     full = lists.where((F.size("ids") == NEIGHBOURS) & (F.array_min("cosines") >= least)).select("id")
     # A vector that many name may have more links than its own list, so its whole component is counted.
-    wide = classes.join(full, "id").select("component").distinct()
-    members = classes.join(wide, "component").join(same, "id").select("component", "id", "vector", "copies")
-    counted = _count_in_components(members, least, parts)
+    wide = store(classes.join(full, "id").select("component").distinct())
+    members = store(classes.join(wide, "component").join(same, "id").select("component", "id", "vector", "copies"))
+    # Saturated lists may have lost every link between two components, so near ones are compared too.
+    pairs = wide.select(F.col("component").alias("a"), F.col("component").alias("b"), F.lit(False).alias("join"))
+    pairs = store(pairs.unionByName(_near_components(members, least).withColumn("join", F.lit(True))))
+    met = store(_count_links(members, pairs, least, parts))
+    counted = met.groupBy("id").agg(F.sum("n").alias("n"))
     copies = same.select(F.col("id").alias("b"), "copies")
     few = both.join(copies, "b").groupBy(F.col("a").alias("id")).agg(F.sum("copies").alias("n"))
     few = few.join(classes, "id").join(wide, "component", "left_anti").select("id", "n")
     totals = few.unionByName(counted)
+    bridges = met.where("joined < id").select(F.col("id").alias("a"), F.col("joined").alias("b")).distinct()
+    if not bridges.isEmpty():
+        classes = components(bridges.unionByName(classes.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))))
     each = same.join(totals, "id", "left").join(classes, "id", "left").select(
         "vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
     )

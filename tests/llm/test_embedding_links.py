@@ -50,3 +50,30 @@ def test_random_groups(spark):
     assert sum(r[1] for r in mine) >= 0.98 * sum(r[1] for r in true)
     assert sum(a == b for a, b in zip(mine, true)) >= 0.97 * len(true)
     assert all(a[1] <= b[1] for a, b in zip(mine, true))
+
+
+def around(draw, center, cosine, count):
+    """Vectors with about this cosine to each other."""
+    center = center / np.linalg.norm(center)
+    noise = draw.normal(size=(count, len(center)))
+    noise -= np.outer(noise @ center, center)
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    return center * np.sqrt(cosine) + noise * np.sqrt(1 - cosine)
+
+
+def test_links_between_saturated_groups(spark):
+    """Two clumps whose lists hold only links inside: 0.99 within a clump, 0.92 between them."""
+    draw = np.random.default_rng(8)
+    one, side = np.eye(64)[:2]
+    clumps = [around(draw, c, 0.99, 12) for c in (one, 0.93 * one + np.sqrt(1 - 0.93**2) * side)]
+    rows = [*clumps[0], *clumps[1], *draw.normal(size=(300, 64))]
+    named = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(rows)]
+    true = expected(named)
+    assert true[0][1] == 23 and sum(r[1] for r in true) == 24 * 23
+    assert found(spark, named) == true
+
+
+def test_joined_ids():
+    close = np.array([[1, 0, 0], [1, 1, 0], [0, 0, 1]], bool)
+    one, other = el.joined_ids(np.array([7, 8, 9]), np.array([3, 4, 5]), close)
+    assert one.tolist() == [3, 3, 5] and other.tolist() == [3, 3, 5]
