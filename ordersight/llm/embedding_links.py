@@ -151,10 +151,13 @@ def _merged(lists: DataFrame) -> DataFrame:
     return joined.select("id", F.col("best.ids").alias("ids"), F.col("best.cosines").alias("cosines"))
 
 
-def _split(groups: DataFrame) -> DataFrame:
-    """Groups (name columns in ``key``, id) cut by hash to about ``GROUP`` vectors, as one number."""
+def _split(groups: DataFrame, seed: int) -> DataFrame:
+    """Groups (name columns in ``key``, id) cut by hash to about ``GROUP`` vectors, as one number.
+
+    Each group and seed cuts in another way, so that parts of one tight group meet.
+    """
     sizes = groups.groupBy("key").agg(F.count("*").alias("n"))
-    cut = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / GROUP))
+    cut = F.pmod(F.xxhash64("id", "key", F.lit(seed)), F.ceil(F.col("n") / GROUP))
     return groups.join(sizes, "key").select(F.xxhash64("key", cut).alias("group"), *[c for c in groups.columns if c != "key"])
 
 
@@ -177,15 +180,15 @@ def _leaves(vectors: DataFrame, dimension: int, count: int, seed: int, parts: in
                 leaf = [f"{tree}:".encode() + (np.packbits(s).tobytes() if bits else b"") for s in sides[:, tree]]
                 yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.binary()), batch.column("id"), batch.column("vector")], ["key", "id", "vector"])
 
-    return _gathered(_split(vectors.mapInArrow(assign, "key binary, id long, vector binary")), parts)
+    return _gathered(_split(vectors.mapInArrow(assign, "key binary, id long, vector binary"), seed), parts)
 
 
-def _neighbourhoods(lists: DataFrame, vectors: DataFrame, parts: int) -> DataFrame:
+def _neighbourhoods(lists: DataFrame, vectors: DataFrame, seed: int, parts: int) -> DataFrame:
     """(group, id, vector): around each vector its neighbours and those that name it."""
     forward = lists.select(F.col("id").alias("key"), F.explode("ids").alias("id"))
     back = forward.select(F.col("id").alias("key"), F.col("key").alias("id"))
     around = forward.unionByName(back).unionByName(lists.select(F.col("id").alias("key"), "id")).distinct()
-    return _gathered(_split(around).join(vectors, "id"), parts)
+    return _gathered(_split(around, seed).join(vectors, "id"), parts)
 
 
 def _audit(lists: DataFrame, vectors: DataFrame, least: float) -> float:
@@ -220,7 +223,7 @@ def neighbour_lists(vectors: DataFrame, least: float = LEAST) -> tuple[DataFrame
     while len(recalls) < MOST_ROUNDS:
         fresh = _meet(_leaves(vectors, dimension, count, len(recalls), parts))
         lists = store(_merged(fresh if lists is None else fresh.unionByName(lists)))
-        near = _meet(_neighbourhoods(lists, vectors, parts))
+        near = _meet(_neighbourhoods(lists, vectors, len(recalls), parts))
         lists = store(_merged(near.unionByName(lists)))
         recalls.append(_audit(lists, vectors, least))
         if recalls[-1] >= RECALL and (len(recalls) > 1 or recalls[-1] == 1.0):

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from ordersight.llm import embedding_links as el
+from ordersight.llm.components import components
 
 
 def expected(rows):
@@ -73,6 +76,18 @@ def test_links_between_saturated_groups(spark):
     assert found(spark, named) == true
 
 
+def test_parts_of_a_tight_group_meet(spark):
+    """A leaf too large for one task is cut in another way by each tree, so the lists alone join its vectors."""
+    draw = np.random.default_rng(5)
+    rows = [*(draw.normal(size=64) + 1e-5 * draw.normal(size=(1100, 64))), *draw.normal(size=(500, 64))]
+    frame = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    lists, _ = el.neighbour_lists(el._usable(frame))
+    links = lists.select(F.col("id").alias("a"), F.explode(F.arrays_zip("ids", "cosines")).alias("x")).where(F.col("x.cosines") >= el.LEAST)
+    assert components(links.select("a", F.col("x.ids").alias("b"))).where("id < 1100").select("component").distinct().count() == 1
+    mine = el.embedding_links(frame).where("vec_id < 1100").select("n_links", "component_id").distinct().collect()
+    assert [tuple(r) for r in mine] == [(1099, 0)]
+
+
 def test_joined_ids():
     close = np.array([[1, 0, 0], [1, 1, 0], [0, 0, 1]], bool)
     one, other = el.joined_ids(np.array([7, 8, 9]), np.array([3, 4, 5]), close)
