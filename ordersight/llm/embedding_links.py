@@ -5,7 +5,8 @@ hyperplane trees: vectors on the same side of all planes meet in a leaf. Rounds
 descent follow: around every vector its neighbours and those that name it meet, and
 each keeps its best ``NEIGHBOURS``. An audit compares a bounded sample with all vectors;
 while less than ``RECALL`` of its links are found and a round still helps, another
-round with new trees follows. Links are the neighbours with a cosine, in double precision,
+round with new trees follows. A second audit counts all links of the sample, beyond what lists hold,
+in the result; if either ends below ``RECALL``, all pairs of vectors are compared in blocks instead. Links are the neighbours with a cosine, in double precision,
 of at least ``LEAST``.
 
 A list with nothing but links is saturated: there may be more. Such lists are
@@ -26,6 +27,7 @@ rows are other vectors that link with each other.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +49,7 @@ AUDIT = 400
 RECALL = 0.99
 MOST_ROUNDS = 6
 
+_log = logging.getLogger(__name__)
 _LISTS = "id long, ids array<long>, cosines array<double>"
 
 
@@ -191,8 +194,8 @@ def _neighbourhoods(lists: DataFrame, vectors: DataFrame, seed: int, parts: int)
     return _gathered(_split(around, seed).join(vectors, "id"), parts)
 
 
-def _audit(lists: DataFrame, vectors: DataFrame, least: float) -> float:
-    """Share of the links of at most ``AUDIT`` vectors, as far as lists can hold them, that was found."""
+def _true_counts(vectors: DataFrame, least: float) -> DataFrame:
+    """(id, n): all links of at most ``AUDIT`` of the vectors (id, vector, copies), by comparison with every vector."""
     spark = vectors.sparkSession
     chosen = vectors.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(AUDIT).collect()
     asked = spark.sparkContext.broadcast(([r.id for r in chosen], [bytes(r.vector) for r in chosen]))
@@ -203,29 +206,42 @@ def _audit(lists: DataFrame, vectors: DataFrame, least: float) -> float:
         for batch in batches:
             if batch.num_rows:
                 x = _unit([*blobs, *batch.column("vector").to_pylist()])
-                total += (x[: len(ids)] @ x[len(ids) :].T >= least).sum(1)
+                close = np.clip(x[: len(ids)] @ x[len(ids) :].T, -1, 1) >= least
+                close &= np.array(ids)[:, None] != np.asarray(batch.column("id"))[None, :]
+                total += close @ np.asarray(batch.column("copies"))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total)], ["id", "n"])
 
-    true = vectors.mapInArrow(count, "id long, n long").groupBy("id").agg((F.sum("n") - 1).alias("n"))
+    return vectors.select("id", "vector", "copies").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def _audit(lists: DataFrame, true: DataFrame, least: float) -> float:
+    """Share of the links in ``true``, as far as lists can hold them, that was found."""
     found = lists.join(F.broadcast(true), "id").select(F.size(F.filter("cosines", lambda c: c >= least)).alias("found"), F.least("n", F.lit(NEIGHBOURS)).alias("n"))
     sums = found.agg(F.sum("found"), F.sum("n")).first()
     every = true.agg(F.sum(F.least("n", F.lit(NEIGHBOURS)))).first()[0] or 0
     return (sums[0] or 0) / every if every else 1.0
 
 
+def _recall(totals: DataFrame, true: DataFrame) -> float:
+    """Mean share of its links that a vector of ``true`` with links has in ``totals`` (id, n)."""
+    shares = true.where("n > 0").join(totals.withColumnRenamed("n", "found"), "id", "left").select((F.coalesce("found", F.lit(0)) / F.col("n")).alias("share"))
+    return shares.agg(F.coalesce(F.avg("share"), F.lit(1.0))).first()[0]
+
+
 def neighbour_lists(vectors: DataFrame, least: float = LEAST) -> tuple[DataFrame, list[float]]:
     """(id, ids, cosines) and the audited recall after each round."""
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count, longest = vectors.agg(F.count("*"), F.max(F.length("vector"))).first()
     parts = partitions_for(count, 20_000, parts)
     dimension = (longest or 8) // 8
+    true = store(_true_counts(vectors.withColumn("copies", F.lit(1).cast("long")), least))
     lists, recalls = None, []
     while len(recalls) < MOST_ROUNDS:
         fresh = _meet(_leaves(vectors, dimension, count, len(recalls), parts))
         lists = store(_merged(fresh if lists is None else fresh.unionByName(lists)))
         near = _meet(_neighbourhoods(lists, vectors, len(recalls), parts))
         lists = store(_merged(near.unionByName(lists)))
-        recalls.append(_audit(lists, vectors, least))
+        recalls.append(_audit(lists, true, least))
         if recalls[-1] >= RECALL and (len(recalls) > 1 or recalls[-1] == 1.0):
             break
         if len(recalls) > 2 and recalls[-1] <= recalls[-3]:
@@ -348,12 +364,8 @@ def _count_links(members: DataFrame, pairs: DataFrame, least: float, parts: int)
     return _gathered(met, parts).mapInArrow(tally, "id long, n long, joined long")
 
 
-def embedding_links(vectors: DataFrame, least: float = LEAST) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding)."""
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    usable = store(_usable(vectors))
-    same = store(usable.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
-    lists, _ = neighbour_lists(same.select("id", "vector"), least)
+def _links_of_lists(lists: DataFrame, same: DataFrame, least: float, parts: int) -> tuple[DataFrame, DataFrame]:
+    """(id, n) and (id, component) of the linked vectors, from their lists and near components."""
     links = store(
         lists.select("id", F.explode(F.arrays_zip("ids", "cosines")).alias("x")).where(F.col("x.cosines") >= least).select(F.col("id").alias("a"), F.col("x.ids").alias("b"))
     )
@@ -371,10 +383,38 @@ def embedding_links(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     copies = same.select(F.col("id").alias("b"), "copies")
     few = both.join(copies, "b").groupBy(F.col("a").alias("id")).agg(F.sum("copies").alias("n"))
     few = few.join(classes, "id").join(wide, "component", "left_anti").select("id", "n")
-    totals = few.unionByName(counted)
+    totals = store(few.unionByName(counted))
     bridges = met.where("joined < id").select(F.col("id").alias("a"), F.col("joined").alias("b")).distinct()
     if not bridges.isEmpty():
         classes = components(bridges.unionByName(classes.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    return totals, classes
+
+
+def _all_links(same: DataFrame, least: float, parts: int) -> tuple[DataFrame, DataFrame]:
+    """Exact (id, n) and (id, component) of the linked vectors: every block meets every other."""
+    count = same.count()
+    everything = F.lit(0).cast("long")
+    pairs = same.sparkSession.range(1).select(everything.alias("a"), everything.alias("b"), F.lit(True).alias("join"))
+    parts = partitions_for(count * -(-count // BLOCK), 50_000, parts)
+    met = store(_count_links(same.select(everything.alias("component"), "id", "vector", "copies"), pairs, least, parts))
+    return met.groupBy("id").agg(F.sum("n").alias("n")), components(met.select(F.col("id").alias("a"), F.col("joined").alias("b")))
+
+
+def embedding_links(vectors: DataFrame, least: float = LEAST) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding)."""
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usable = store(_usable(vectors))
+    same = store(usable.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
+    lists, recalls = neighbour_lists(same.select("id", "vector"), least)
+    exact = recalls[-1] < RECALL
+    if not exact:
+        totals, classes = _links_of_lists(lists, same, least, parts)
+        recall = _recall(totals, _true_counts(same, least))
+        exact = recall < RECALL
+        _log.info("Audited recall of links: lists %.4f, all %.4f", recalls[-1], recall)
+    if exact:
+        _log.warning("Audited recall of links %.4f below %.2f: all pairs of vectors are compared", recall if recalls[-1] >= RECALL else recalls[-1], RECALL)
+        totals, classes = _all_links(same, least, parts)
     each = same.join(totals, "id", "left").join(classes, "id", "left").select(
         "vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
     )

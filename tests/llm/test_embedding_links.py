@@ -88,6 +88,20 @@ def test_parts_of_a_tight_group_meet(spark):
     assert [tuple(r) for r in mine] == [(1099, 0)]
 
 
+def test_all_pairs_when_the_audit_fails(spark, monkeypatch):
+    """Lists that lost links, or a result that lost some beyond the lists, give way to all pairs."""
+    draw = np.random.default_rng(6)
+    rows = [*draw.normal(size=(150, 16)), *around(draw, np.eye(16)[0], 0.99, 30), *around(draw, np.eye(16)[3], 0.95, 5)]
+    rows += [*rows[:20], *(x + 0.1 * draw.normal(size=16) for x in rows[20:60])]
+    named = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(rows)]
+    monkeypatch.setattr(el, "BLOCK", 64)
+    complete = el.neighbour_lists
+    monkeypatch.setattr(el, "neighbour_lists", lambda *a: (complete(*a)[0].where("id % 3 = 0"), [0.5]))
+    assert found(spark, named) == expected(named)
+    monkeypatch.setattr(el, "neighbour_lists", lambda *a: (complete(*a)[0].where("id % 3 = 0"), [1.0]))
+    assert found(spark, named) == expected(named)
+
+
 def test_joined_ids():
     close = np.array([[1, 0, 0], [1, 1, 0], [0, 0, 1]], bool)
     one, other = el.joined_ids(np.array([7, 8, 9]), np.array([3, 4, 5]), close)
