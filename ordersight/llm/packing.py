@@ -1,8 +1,8 @@
 """Lexical retrieval packing: sequences filled with a seed document and its BM25 neighbours.
 
 Documents are dealt to shards by their id; each shard, of a bounded amount of
-text, has its own inverted index of token ids. A seed document asks the index with its
-rarest terms; unused neighbours fill the window best first. If none of them
+text, has its own inverted index of token ids. A seed document asks the index with all
+of its terms; unused neighbours fill the window best first. If none of them
 fits into what is left, the best is cut and its rest stays unused. So every
 sequence but the last of a shard is full. A document of more than a window
 first gives full sequences of its own.
@@ -32,7 +32,6 @@ WINDOW = 2048
 END = 1
 #: Bytes of text in a shard.
 SHARD_BYTES = 8 << 20
-QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -56,11 +55,9 @@ class Index:
         self.gain = rarity[terms] * times * (K1 + 1) / (times + norm[self.docs])
 
     def neighbours(self, ids: np.ndarray, unused: np.ndarray) -> np.ndarray:
-        """Unused texts that share one of the rarest shared terms, best first."""
+        """Unused texts by their BM25 score for all terms of ``ids``, best first."""
         terms = np.unique(ids)
-        terms = terms[self.frequency[terms] > 1]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(self.frequency[terms], QUERY_TERMS)[:QUERY_TERMS]]
+        terms = terms[self.frequency[terms] > 0]
         if not len(terms):
             return np.zeros(0, np.int64)
         spans = [slice(self.first[t], self.first[t + 1]) for t in terms]
@@ -68,6 +65,13 @@ class Index:
         found = np.flatnonzero((scores > 0) & unused)
         return found[np.argsort(-scores[found], kind="stable")]
 
+    def shrink(self, unused: np.ndarray) -> None:
+        """Leave out postings of used texts; scores of the others stay."""
+        kept = unused[self.docs]
+        self.docs, self.gain = self.docs[kept], self.gain[kept]
+        self.first = np.append(0, np.cumsum(kept))[self.first]
+        self.frequency = np.diff(self.first)
+
 
 def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of a shard as lists of (text, start, length)."""
@@ -84,8 +88,11 @@ def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int) -> Iterator[list
     # Long rests first, so that short ones are there to fill what is left.
     order = np.argsort(-left, kind="stable")
     turn = 0
-    remaining = int(unused.sum())
+    indexed = remaining = int(unused.sum())
     while remaining:
+        if remaining < 0.7 * indexed:
+            index.shrink(unused)
+            indexed = remaining
         while not unused[order[turn]]:
             turn += 1
         seed = int(order[turn])

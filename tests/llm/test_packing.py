@@ -61,6 +61,26 @@ def test_neighbours_share_words():
     assert sum(len({t // 6 for t, *_ in s}) == 1 for s in sequences) >= 14
 
 
+def test_all_terms_of_a_seed_count():
+    """The order is that of BM25 over all terms, also of a seed with hundreds, and after used texts are left out."""
+    draw = np.random.default_rng(3)
+    ids = [np.minimum(draw.zipf(1.2, draw.integers(20, 800)), 3000) for _ in range(60)]
+    index, unused = packing.Index(ids), np.ones(60, bool)
+    sizes = np.array([len(x) for x in ids])
+    for used in (0, 1, 25):
+        unused[draw.permutation(60)[:used]] = False
+        index.shrink(unused)
+        for seed in np.argsort(-sizes)[:5]:
+            scores = np.zeros(60)
+            for term in np.unique(ids[seed]):
+                times = np.array([(x == term).sum() for x in ids])
+                rarity = np.log1p((60 - (times > 0).sum() + 0.5) / ((times > 0).sum() + 0.5))
+                scores += rarity * times * (packing.K1 + 1) / (times + packing.K1 * (1 - packing.B + packing.B * sizes / sizes.mean()))
+            mine = index.neighbours(ids[seed], unused)
+            assert sorted(mine) == np.flatnonzero(unused & (scores > 0)).tolist()
+            assert np.allclose(scores[mine], np.sort(scores[mine])[::-1])
+
+
 def test_ids_are_the_tokenizers(tokenizer):
     coder = Encoder(PATH)
     draw = random.Random(6)
