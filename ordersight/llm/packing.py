@@ -1,7 +1,9 @@
 """Lexical retrieval packing: sequences filled with a seed document and its BM25 neighbours.
 
-Documents are dealt to shards by their id; each shard, of a bounded amount of
-text, has its own inverted index of token ids. A seed document asks the index with all
+Document frequencies and the mean length are those of all documents. Documents are dealt to
+shards, of a bounded amount of text, by two weighted MinHash terms, rare ones first in line, so that
+documents on one subject tend to lie together; what has both terms in common and is too much for a shard
+is split by row. Each shard has its own inverted index of token ids, and neighbours come from it. A seed document asks the index with all
 of its terms; unused neighbours fill the window best first. If none of them
 fits into what is left, the best is cut and its rest stays unused. So every
 sequence but the last of a shard is full. A document of more than a window
@@ -22,11 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordersight.llm.byte_words import mix
 from ordersight.llm.pretokens import encoder
 from ordersight.llm.tables import partitions_for, table, text_bytes
+from ordersight.plans.shared_store import store
 
 WINDOW = 2048
 END = 1
@@ -36,10 +41,26 @@ K1, B = 1.2, 0.75
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class Statistics:
+    """Number of documents, their mean length in ids, and in how many of them each id occurs."""
+
+    def __init__(self, documents: int, mean: float, frequency: np.ndarray):
+        self.documents, self.mean, self.frequency = documents, mean, frequency
+
+    @property
+    def rarity(self) -> np.ndarray:
+        return np.log1p((self.documents - self.frequency + 0.5) / (self.frequency + 0.5))
+
+    def ranks(self) -> np.ndarray:
+        """Two weighted MinHash orders of the ids; an id in one document alone joins nothing and comes last."""
+        draws = np.random.default_rng(29).exponential(size=(2, len(self.frequency)))
+        return np.where(self.frequency > 1, draws / self.rarity, np.inf)
+
+
 class Index:
-    """BM25 postings of the texts of a shard."""
+    """BM25 postings of the texts of a shard, with the statistics of all documents."""
 
-    def __init__(self, ids: list[np.ndarray]):
+    def __init__(self, ids: list[np.ndarray], statistics: Statistics | None = None):
         sizes = np.array([len(x) for x in ids], np.int64)
         self.n = len(ids)
         keys = (np.concatenate(ids).astype(np.uint64) << np.uint64(32)) | np.repeat(np.arange(self.n, dtype=np.uint64), sizes)
@@ -50,9 +71,9 @@ class Index:
         terms = (keys[new] >> np.uint64(32)).astype(np.int64)
         self.first = np.searchsorted(terms, np.arange(int(terms.max()) + 2))
         self.frequency = np.diff(self.first)
-        rarity = np.log1p((self.n - self.frequency + 0.5) / (self.frequency + 0.5))
-        norm = K1 * (1 - B + B * sizes / sizes.mean())
-        self.gain = rarity[terms] * times * (K1 + 1) / (times + norm[self.docs])
+        statistics = statistics or Statistics(self.n, float(sizes.mean()), self.frequency)
+        norm = K1 * (1 - B + B * sizes / statistics.mean)
+        self.gain = statistics.rarity[terms] * times * (K1 + 1) / (times + norm[self.docs])
 
     def neighbours(self, ids: np.ndarray, unused: np.ndarray) -> np.ndarray:
         """Unused texts by their BM25 score for all terms of ``ids``, best first."""
@@ -73,7 +94,7 @@ class Index:
         self.frequency = np.diff(self.first)
 
 
-def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int) -> Iterator[list[tuple[int, int, int]]]:
+def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int, statistics: Statistics | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of a shard as lists of (text, start, length)."""
     starts = np.zeros(len(sizes), np.int64)
     for text in np.flatnonzero(sizes >= window):
@@ -84,7 +105,7 @@ def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int) -> Iterator[list
     unused = left > 0
     if not unused.any():
         return
-    index = Index(ids)
+    index = Index(ids, statistics)
     # Long rests first, so that short ones are there to fill what is left.
     order = np.argsort(-left, kind="stable")
     turn = 0
@@ -126,10 +147,10 @@ def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int) -> Iterator[list
         yield pieces
 
 
-def _pack_shard(shard: int, docs: list, ids: list[np.ndarray], window: int) -> pa.RecordBatch:
+def _pack_shard(shard: int, docs: list, ids: list[np.ndarray], window: int, statistics: Statistics) -> pa.RecordBatch:
     sizes = np.array([len(x) for x in ids], np.int64)
     rows = []
-    for number, pieces in enumerate(pack(sizes, ids, window)):
+    for number, pieces in enumerate(pack(sizes, ids, window, statistics)):
         offset = 0
         for text, start, length in pieces:
             crc = zlib.crc32(ids[text][start : start + length].astype("<u4").tobytes())
@@ -139,44 +160,124 @@ def _pack_shard(shard: int, docs: list, ids: list[np.ndarray], window: int) -> p
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
-    """Pieces of sequences of all ``docs`` (doc_id, text); each id lies in exactly one piece."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    total = texts.agg(F.coalesce(F.sum(text_bytes(F.col("text")) + 16), F.lit(0))).first()[0]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = partitions_for(total, SHARD_BYTES, 1)
+def _ids(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_py(), "<u2" if small.as_py() else "<u4") for small, b in zip(batch.column("small"), batch.column("ids"))]
+
+
+def _coded(texts: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id, row (its place in the input), bytes, small (16 bits an id) and the ids of each text."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer)
+        coder, row = encoder(tokenizer), TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 coded = [np.append(x, END).astype("<u4") for x in coder.ids(part.column("text").to_pylist())]
                 small = all(int(x.max()) < 1 << 16 for x in coded)
                 blobs = [x.astype("<u2").tobytes() if small else x.tobytes() for x in coded]
+                rows = pa.array(np.arange(row, row + len(blobs)))
+                row += len(blobs)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("shard"), part.column("doc_id"), pa.array(np.full(len(blobs), small)), pa.array(blobs, pa.binary())],
-                    ["shard", "doc_id", "small", "ids"],
+                    [part.column("doc_id"), rows, part.column("bytes"), pa.array(np.full(len(blobs), small)), pa.array(blobs, pa.binary())],
+                    ["doc_id", "row", "bytes", "small", "ids"],
                 )
 
+    return store(texts.mapInArrow(encode, "doc_id long, row long, bytes long, small boolean, ids binary"))
+
+
+def statistics_of(coded: DataFrame) -> Statistics:
+    """Of all documents; one row an id and task is shuffled, and the driver gets one an id of the vocabulary."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Two sums share the column of the ids: documents at -1, ids of all texts at -2.
+        total, documents, length = np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            for ids in _ids(batch):
+                found = np.unique(ids)
+                if found[-1] >= len(total):
+                    total = np.append(total, np.zeros(int(found[-1]) + 1 - len(total), np.int64))
+                total[found] += 1
+                documents, length = documents + 1, length + len(ids)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, [-1, -2])), pa.array(np.append(total[some], [documents, length]))], ["term", "n"])
+
+    found = coded.select("small", "ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counts = dict(zip(found["term"].to_pylist(), found["n"].to_pylist()))
+    documents, length = counts.pop(-1, 0), counts.pop(-2, 0)
+    frequency = np.zeros(max(counts, default=0) + 1, np.int64)
+    frequency[list(counts)] = list(counts.values())
+    return Statistics(documents, length / max(documents, 1), frequency)
+
+
+def _dealt(coded: DataFrame, statistics: Statistics) -> tuple[DataFrame, int]:
+    """``coded`` with its shard, and the number of shards."""
+    spark = coded.sparkSession
+    ranks = spark.sparkContext.broadcast(statistics.ranks())
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, two = ranks.value
+        for batch in batches:
+            terms = [np.unique(ids) for ids in _ids(batch)]
+            keys = [pa.array(np.array([t[np.argmin(rank[t])] for t in terms], np.int64)) for rank in (one, two)]
+            yield pa.RecordBatch.from_arrays([*keys, batch.column("bytes")], ["one", "two", "bytes"])
+
+    signed = coded.select("bytes", "small", "ids").mapInArrow(sign, "one long, two long, bytes long")
+    cells = store(signed.groupBy("one", "two").agg(F.sum("bytes").alias("bytes")))
+    # At most one cell a shard's bytes, and one sum an id of the vocabulary.
+    crowded = {(r.one, r.two): r.bytes for r in cells.where(F.col("bytes") > SHARD_BYTES).orderBy("one", "two").collect()}
+    sums = cells.where(F.col("bytes") <= SHARD_BYTES).groupBy("one").agg(F.sum("bytes").alias("bytes")).orderBy("one").collect()
+    size, start, at = np.zeros(len(statistics.frequency), np.int64), np.zeros(len(statistics.frequency), np.int64), 0
+    for r in sums:
+        size[r.one], start[r.one] = r.bytes, at
+        at += r.bytes
+    shards, own = max(1, -(-at // SHARD_BYTES)), {}
+    for cell, amount in crowded.items():
+        own[cell] = (shards, -(-amount // SHARD_BYTES))
+        shards += own[cell][1]
+    plan = spark.sparkContext.broadcast((size, start, own))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (one, two), (size, start, own) = ranks.value, plan.value
+        for batch in batches:
+            terms = [np.unique(ids) for ids in _ids(batch)]
+            a, b = (np.array([t[np.argmin(rank[t])] for t in terms], np.int64) for rank in (one, two))
+            # The documents of a large first term lie in the order of a hash of the second.
+            part = (mix(b.astype(np.uint64)) >> np.uint64(11)).astype(float) / (1 << 53)
+            shard = (start[a] + np.where(size[a] > SHARD_BYTES, part * size[a], 0).astype(np.int64)) // SHARD_BYTES
+            salt = mix(np.asarray(batch.column("row")).astype(np.uint64)) >> np.uint64(1)
+            for k, cell in enumerate(zip(a.tolist(), b.tolist())):
+                if cell in own:
+                    first, count = own[cell]
+                    shard[k] = first + int(salt[k]) % count
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *batch.columns], ["shard", *batch.schema.names])
+
+    return coded.mapInArrow(deal, "shard long, doc_id long, row long, bytes long, small boolean, ids binary"), shards
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+    """Pieces of sequences of all ``docs`` (doc_id, text); each id lies in exactly one piece."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    coded = _coded(texts.withColumn("bytes", text_bytes(F.col("text")) + 16), tokenizer)
+    statistics = statistics_of(coded)
+    dealt, shards = _dealt(coded, statistics)
+    shared = spark.sparkContext.broadcast(statistics)
+
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, docs, ids = None, [], []
         for batch in batches:
-            for shard, doc, small, blob in zip(*(batch.column(n) for n in ("shard", "doc_id", "small", "ids"))):
-                shard = shard.as_py()
+            for shard, doc, text in zip(batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist(), _ids(batch)):
                 if shard != current and docs:
-                    yield _pack_shard(current, docs, ids, window)
+                    yield _pack_shard(current, docs, ids, window, shared.value)
                     docs, ids = [], []
                 current = shard
-                docs.append(doc.as_py())
-                ids.append(np.frombuffer(blob.as_py(), "<u2" if small.as_py() else "<u4"))
+                docs.append(doc)
+                ids.append(text)
         if docs:
-            yield _pack_shard(current, docs, ids, window)
+            yield _pack_shard(current, docs, ids, window, shared.value)
 
-    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    coded = dealt.mapInArrow(encode, "shard long, doc_id long, small boolean, ids binary")
-    gathered = coded.repartition(partitions_for(shards, 1, parts), "shard").sortWithinPartitions("shard", "doc_id")
+    parts = partitions_for(shards, 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    gathered = dealt.select("shard", "doc_id", "row", "small", "ids").repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "row")
     return gathered.mapInArrow(fill, _PIECES)
 
 

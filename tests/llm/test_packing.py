@@ -81,6 +81,26 @@ def test_all_terms_of_a_seed_count():
             assert np.allclose(scores[mine], np.sort(scores[mine])[::-1])
 
 
+def test_shards_by_content(spark, monkeypatch):
+    """Small shards: statistics of all documents, texts alike together, and rows of a null id in several shards."""
+    monkeypatch.setattr(packing, "SHARD_BYTES", 4000)
+    rows = [(100 * k + c, prose(k, 60)) for c in range(2) for k in range(40)] + [(None, prose(500, 60))] * 60
+    coded = packing._coded(table(spark, rows).selectExpr("doc_id", "text", "cast(octet_length(text) + 16 as long) bytes"), PATH)
+    statistics = packing.statistics_of(coded)
+    ids = Encoder(PATH).ids([t for _, t in rows])
+    true = np.bincount(np.concatenate([np.unique(np.append(x, packing.END)) for x in ids]))
+    assert statistics.documents == len(rows) and statistics.frequency.tolist() == true.tolist()
+    assert np.isclose(statistics.mean, np.mean([len(x) + 1 for x in ids]))
+    dealt, shards = packing._dealt(coded, statistics)
+    found = [(r.doc_id, r.shard, r.bytes) for r in dealt.collect()]
+    place = {i: s for i, s, _ in found if i is not None}
+    assert shards > 10 and all(place[100 * k] == place[100 * k + 1] for k in range(40))
+    amounts = {}
+    for _, shard, size in found:
+        amounts[shard] = amounts.get(shard, 0) + size
+    assert len({s for i, s, _ in found if i is None}) > 3 and max(amounts.values()) < 4 * packing.SHARD_BYTES
+
+
 def test_ids_are_the_tokenizers(tokenizer):
     coder = Encoder(PATH)
     draw = random.Random(6)
