@@ -5,7 +5,9 @@ No blocks, samples or indexes: all windows, all pairs that share a shingle, all
 
 from __future__ import annotations
 
+from ordersight.llm.capture_index import OP12_SQL
 from ordersight.llm.decontamination import OP7_SQL
+from ordersight.llm.source_divergence import OP11_SQL
 
 # All 50-byte strings as hexadecimal text, with the smallest document each starts in.
 OP4_SQL = """
@@ -75,4 +77,6 @@ EXPECTED_SQL = {
     "op6_near_duplicates": OP6_SQL,
     "op7_decontamination": OP7_SQL,
     "op8_embedding_links": OP8_SQL,
+    "op11_source_divergence": OP11_SQL,
+    "op12_capture_index": OP12_SQL,
 }
