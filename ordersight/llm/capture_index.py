@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm.tables import ship_library, table
+from ordersight.llm.tables import partitions_for, ship_library, table
 from ordersight.llm.warc_archives import ARCHIVE_BYTES, RECORD_SCHEMA, read_records, write_records
 from ordersight.plans.shared_store import run_folder, store
 
@@ -42,6 +42,8 @@ LEAST_BYTES = 100
 BLOCK_CAPTURES, MOST_BLOCKS, KEY_BYTES = 3000, 100_000, 200
 #: Repeated payloads known to every task; beyond it they meet the pages in a shuffle.
 MOST_BROADCAST = 500_000
+#: Bytes of archives that a task reads.
+TASK_BYTES = 16 << 20
 _PORT = {"http": 80, "https": 443}
 
 
@@ -209,7 +211,11 @@ def locate(index: CaptureIndex, requests: DataFrame) -> DataFrame:
 
 def read_captures(index: CaptureIndex, places: DataFrame, with_payload: bool = False) -> DataFrame:
     """The records at archive, offset, length, read as byte ranges in the order they lie in."""
-    ordered = places.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    places = store(places)
+    # Tasks by the bytes they read: the ranges themselves are small rows, which Spark would put together.
+    amount = places.agg(F.sum("length")).first()[0] or 0
+    tasks = partitions_for(amount, TASK_BYTES, 1)
+    ordered = places.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     schema = RECORD_SCHEMA + (", payload binary" if with_payload else "")
     return ordered.mapInArrow(partial(read_records, folder=index.folder, with_payload=with_payload), schema)
 
