@@ -15,7 +15,7 @@ from ordersight.functions import percent, ratio, round_to, whole_percent
 from ordersight.operators import anomaly, marts, ranking, rfm
 from ordersight.plans.first_row import keep_first
 from ordersight.plans.hot_groups import add_previous, add_ranks
-from ordersight.plans.tiles import add_ntiles
+from ordersight.plans.tiles import add_ntiles, rows_at
 from tests.conftest import order, values
 
 
@@ -39,8 +39,8 @@ def skewed(spark):
     ).repartition(5)
 
 
-@pytest.mark.parametrize("partitions", ["3", "16"])
-def test_tiles_match_ntile(spark, skewed, partitions):
+@pytest.mark.parametrize(("partitions", "held"), [("3", 20_000), ("16", 40)])
+def test_tiles_match_ntile(spark, skewed, partitions, held):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -48,7 +48,7 @@ def test_tiles_match_ntile(spark, skewed, partitions):
         measures = {"a": F.col("day"), "b": -F.coalesce("amount", F.lit(-1))}
         for size in (0, 1, 4, 5, 7, 3000):
             df = skewed.filter(F.col("id") < size)
-            mine = add_ntiles(df, measures, "id")
+            mine = add_ntiles(df, measures, "id", held=held)
             plain = df.select("id", *[F.ntile(5).over(Window.orderBy(value, "id")).alias(name) for name, value in measures.items()])
             assert sorted(values(mine, "id", "a", "b")) == sorted(values(plain, "id", "a", "b"))
     finally:
@@ -248,4 +248,27 @@ def test_a_missing_tiebreak_on_each_border(spark):
         rows = [(None if i == 2 * border else i, 0 if i >= 2 * border else -1) for i in range(10)]
         df = spark.createDataFrame(rows, "id INT, v INT").repartition(3)
         plain = df.select("id", F.ntile(5).over(Window.orderBy("v", "id")).alias("a"))
-        assert sorted(values(add_ntiles(df, {"a": F.col("v")}, "id"), "id", "a"), key=str) == sorted(values(plain), key=str)
+        for held in (20_000, 2):
+            mine = add_ntiles(df, {"a": F.col("v")}, "id", held=held)
+            assert sorted(values(mine, "id", "a"), key=str) == sorted(values(plain), key=str)
+
+
+def test_tiles_move_no_rows(spark, skewed):
+    """Neither the search nor the result sorts or shuffles the table; texts break ties too."""
+    df = skewed.withColumn("name", F.concat(F.lit("é"), F.col("id").cast("string")))
+    measures = {"a": F.col("day"), "b": F.col("id") % 2}
+    mine = add_ntiles(df, measures, "name", tiles=7, held=50)
+    assert "Exchange" not in mine._jdf.queryExecution().executedPlan().toString()
+    plain = df.select("name", *[F.ntile(7).over(Window.orderBy(value, "name")).alias(name) for name, value in measures.items()])
+    assert sorted(values(mine, "name", "a", "b")) == sorted(values(plain))
+
+
+def test_places_are_found_by_counting(spark):
+    """Far more rows than are held, most of them with one key."""
+    rows = spark.range(200_000).select((F.col("id") * 7919 % 200_003).alias("id"), F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(0).cast("decimal(38,2)").alias("_key0"))
+    rows = rows.persist()
+    ordered = [(r._key0, r.id) for r in rows.orderBy("_key0", "id").collect()]
+    places = [0, 1, 39_999, 100_000, 195_999, 196_000, 199_999]
+    found = rows_at(rows, [(0, place) for place in places], 200_000, "id", held=500)
+    assert found == {(0, place): ordered[place] for place in places}
+    rows.unpersist()
