@@ -14,6 +14,7 @@ from ordersight.operators import cleaning
 from ordersight.plans.first_row import keep_first
 from ordersight.plans.shared_store import stored_while
 from ordersight.sources.csv_files import write_clean
+from ordersight.sources.key_index import INDEXED, KeyIndex, index_new_files
 from ordersight.star import PRIMARY_KEYS, STAR_SCHEMAS, StarSchema
 
 log = logging.getLogger(__name__)
@@ -118,39 +119,50 @@ def store_star(star: StarSchema, home: StarHome) -> StarSchema:
     create_star(spark, home)
     for name, df in star.tables().items():
         _append(_typed(df, name), home, name)
+        index_new_files(spark, home.root, name, table_files(spark, home, name))
     return read_star(spark, home)
 
 
-def new_rows(
-    batch: DataFrame,
-    existing: DataFrame,
-    keys: list[str],
-    order: list[str] | None = None,
-    null_keys: str = "fail",
+def first_rows(
+    batch: DataFrame, keys: list[str], order: list[str] | None = None, null_keys: str = "fail"
 ) -> DataFrame:
-    """Rows of ``batch`` whose key is not stored yet, the first per key.
+    """One row per key: the first in ``order``, or in that of the other columns.
 
     A row without a key fails the load, as a primary key would, or is left out
     with ``null_keys="drop"``.
     """
     if null_keys not in ("fail", "drop"):
         raise ValueError(f"unknown null_keys {null_keys!r}")
-    first = keep_first(batch, keys, list(order)) if order else batch.dropDuplicates(keys)
+    first = keep_first(batch, keys, list(order or [c for c in batch.columns if c not in keys] or keys))
     if null_keys == "drop":
-        checked = first.dropna(subset=keys)
-    else:
-        checked = first.withColumns(
-            {
-                key: F.when(F.col(key).isNotNull(), F.col(key)).otherwise(
-                    F.raise_error(F.lit(f"null in primary key column {key}"))
-                )
-                for key in keys
-            }
-        )
-    # Only the stored keys that the batch names take part, so a small batch is sent to
+        return first.dropna(subset=keys)
+    return first.withColumns(
+        {
+            key: F.when(F.col(key).isNotNull(), F.col(key)).otherwise(
+                F.raise_error(F.lit(f"null in primary key column {key}"))
+            )
+            for key in keys
+        }
+    )
+
+
+def absent_rows(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``rows`` (one per key) whose key ``existing`` does not hold."""
+    # Only the stored keys that the rows name take part, so a small batch is sent to
     # the stored table rather than the table being shuffled.
-    stored = existing.select(*keys).join(batch.select(*keys).dropDuplicates(), keys, "left_semi")
-    return checked.join(stored, keys, "left_anti").select(*batch.columns)
+    stored = existing.select(*keys).join(rows.select(*keys), keys, "left_semi")
+    return rows.join(stored, keys, "left_anti").select(*rows.columns)
+
+
+def new_rows(
+    batch: DataFrame,
+    existing: DataFrame,
+    keys: list[str],
+    order: list[str] | None = None,
+    null_keys: str = "fail",
+) -> DataFrame:
+    """Rows of ``batch`` whose key is not stored yet, the first per key as in :func:`first_rows`."""
+    return absent_rows(first_rows(batch, keys, order, null_keys), existing, keys)
 
 
 def _typed(df: DataFrame, table: str, extra: list[str] = ()) -> DataFrame:
@@ -164,6 +176,30 @@ def _typed(df: DataFrame, table: str, extra: list[str] = ()) -> DataFrame:
     return df.select(*columns, *extra)
 
 
+def table_files(spark: SparkSession, home: StarHome, table: str) -> list[str]:
+    """The data files of a stored table that hold rows or may hold them."""
+    if home.database:
+        spark.catalog.refreshTable(f"{home.database}.{table}")
+    return sorted(_read_table(spark, home, table).inputFiles())
+
+
+def rows_of_keys(
+    spark: SparkSession, home: StarHome, table: str, keys: DataFrame, column: str | None = None
+) -> DataFrame:
+    """The part of a stored table whose files may hold one of the ``keys`` of an indexed column.
+
+    A table that has them in most of its files is read as a whole, so that its buckets still count.
+    """
+    paths = table_files(spark, home, table)
+    column = column or INDEXED[table][0]
+    found = KeyIndex(spark, home.root, table, column).may_hold(keys, paths)
+    if not found:
+        return spark.createDataFrame([], STAR_SCHEMAS[table])
+    if 2 * len(found) > len(paths):
+        return _read_table(spark, home, table)
+    return spark.read.schema(STAR_SCHEMAS[table]).parquet(*found)
+
+
 def load_idempotent(
     batch: DataFrame,
     home: StarHome,
@@ -175,12 +211,17 @@ def load_idempotent(
 
     ``batch`` needs the table's columns (missing ones load as NULL) and, if
     ``order`` is given, those columns to tell which of several rows with the
-    same key came first.
+    same key came first; without it the smallest row of a key stays. The batch
+    is computed once, and only those data files of the table are read that may
+    hold one of its keys (:mod:`ordersight.sources.key_index`).
     """
-    existing = _read_table(batch.sparkSession, home, table)
-    typed = _typed(batch, table, order or [])
-    fresh = new_rows(typed, existing, PRIMARY_KEYS[table], order, null_keys)
-    _append(fresh.select(*STAR_SCHEMAS[table].names), home, table)
+    spark, keys = batch.sparkSession, PRIMARY_KEYS[table]
+    names = STAR_SCHEMAS[table].names
+    first = first_rows(_typed(batch, table, order or []), keys, order, null_keys).select(*names)
+    with stored_while(first) as rows:
+        existing = rows_of_keys(spark, home, table, rows.select(INDEXED[table][0]))
+        _append(absent_rows(rows, existing, keys), home, table)
+    index_new_files(spark, home.root, table, table_files(spark, home, table))
 
 
 # Dataset, snapshot name and table, in the order of the keys between them.
@@ -250,7 +291,7 @@ def run_etl(
             watched, seen = cleaning.observe_rows(raw[dataset], dataset)
             clean = _clean(dataset, {dataset: watched}, order)
         load_order = [name for name in order if name in clean.columns]
-        # With snapshots it is written twice, so the raw files are read and cleaned once.
+        # A snapshot is one more use of it, so then the raw files are read and cleaned once too.
         with stored_while(clean) if snapshots else nullcontext(clean) as rows:
             if snapshots:
                 write_clean(rows.drop(*load_order), snapshots, snapshot, snapshot_format)
