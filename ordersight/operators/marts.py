@@ -24,12 +24,11 @@ def _money(amount: Column) -> Column:
     return amount.cast("double")
 
 
-def kpi_general(star: StarSchema) -> DataFrame:
-    """One row over orders joined with items, payments and reviews.
+KPI_SUMS = ["orders", "paid", "valued_rows", "rows", "canceled_rows", "delivered_rows", "on_time_rows", "score_sum", "scored_rows"]
 
-    Amounts, rates and averages weigh an order by items x payments x reviews,
-    as that join does; the rows themselves are never built.
-    """
+
+def person_kpis(star: StarSchema) -> DataFrame:
+    """Per customer_unique_id the sums behind the general KPIs."""
     items = star.fact_order_items.groupBy("order_id").agg(F.count("*").alias("item_rows"))
     orders = (
         star.fact_orders.select(
@@ -60,37 +59,47 @@ def kpi_general(star: StarSchema) -> DataFrame:
         F.sum(F.col("score_sum") * scored).alias("score_sum"),
         F.sum(F.col("scored_rows") * scored).alias("scored_rows"),
     )
-    sums = [name for name in by_account.columns if name != "customer_id"]
     accounts = star.dim_customers.select("customer_id", "customer_unique_id")
-    totals = (
+    return (
         by_account.join(accounts, "customer_id")
         .groupBy("customer_unique_id")
-        .agg(*[F.sum(name).alias(name) for name in sums])
-        .agg(
-            F.count("customer_unique_id").alias("people"),
-            *[F.sum(name).alias(name) for name in sums],
-        )
+        .agg(*[F.sum(name).alias(name) for name in KPI_SUMS])
     )
-    # Sellers and products of the same orders, found on the items alone.
+
+
+def seller_products(star: StarSchema) -> DataFrame:
+    """seller_id, product_id and their lines in the orders the general KPIs count."""
     counted = (
         star.fact_orders.select("order_id", "customer_id")
-        .join(accounts, "customer_id", "left_semi")
+        .join(star.dim_customers.select("customer_id"), "customer_id", "left_semi")
         .join(payment_totals(star), "order_id", "left_semi")
     )
-    active = (
+    return (
         star.fact_order_items.select("order_id", "seller_id", "product_id")
         .join(counted, "order_id", "left_semi")
-        # Pairs first: the two distinct counts then repeat these rather than all lines.
-        .select("seller_id", "product_id")
-        .distinct()
-        .agg(
-            F.struct(
-                F.count_distinct("seller_id").alias("sellers"),
-                F.count_distinct("product_id").alias("products"),
-            )
-        )
-        .scalar()
+        .groupBy("seller_id", "product_id")
+        .agg(F.count("*").alias("lines"))
     )
+
+
+def kpi_general(star: StarSchema) -> DataFrame:
+    """One row over orders joined with items, payments and reviews.
+
+    Amounts, rates and averages weigh an order by items x payments x reviews,
+    as that join does; the rows themselves are never built.
+    """
+    return kpi_general_of(person_kpis(star), seller_products(star))
+
+
+def kpi_general_of(people: DataFrame, pairs: DataFrame) -> DataFrame:
+    """:func:`kpi_general` from its sums per person and the pairs of seller and product."""
+    totals = people.agg(F.count("customer_unique_id").alias("people"), *[F.sum(name).alias(name) for name in KPI_SUMS])
+    active = pairs.agg(
+        F.struct(
+            F.count_distinct("seller_id").alias("sellers"),
+            F.count_distinct("product_id").alias("products"),
+        )
+    ).scalar()
     paid = _money(F.col("paid"))
     return totals.withColumn("active", active).select(
         F.coalesce("orders", F.lit(0)).cast("bigint").alias("total_orders"),
@@ -106,8 +115,8 @@ def kpi_general(star: StarSchema) -> DataFrame:
     )
 
 
-def revenue_monthly(star: StarSchema) -> DataFrame:
-    """Orders, customers and revenue per month, with growth over the month before."""
+def person_months(star: StarSchema) -> DataFrame:
+    """month, customer_unique_id: completed orders with a payment, what was paid, payments with a value."""
     sums = ["orders", "paid", "valued_rows"]
     by_account = (
         completed(star.fact_orders)
@@ -120,15 +129,23 @@ def revenue_monthly(star: StarSchema) -> DataFrame:
             F.sum("valued_rows").alias("valued_rows"),
         )
     )
-    by_month = (
+    return (
         by_account.join(star.dim_customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("month", "customer_unique_id")
         .agg(*[F.sum(name).alias(name) for name in sums])
-        .groupBy("month")
-        .agg(
-            F.count("customer_unique_id").alias("people"),
-            *[F.sum(name).alias(name) for name in sums],
-        )
+    )
+
+
+def revenue_monthly(star: StarSchema) -> DataFrame:
+    """Orders, customers and revenue per month, with growth over the month before."""
+    return revenue_monthly_of(person_months(star))
+
+
+def revenue_monthly_of(months: DataFrame) -> DataFrame:
+    """:func:`revenue_monthly` from sums per month and person."""
+    by_month = months.groupBy("month").agg(
+        F.count("customer_unique_id").alias("people"),
+        *[F.sum(name).alias(name) for name in ("orders", "paid", "valued_rows")],
     )
     # From here on there is one row per month.
     before = F.lag("paid").over(Window.orderBy(F.asc_nulls_last("month")))
@@ -148,30 +165,48 @@ def revenue_monthly(star: StarSchema) -> DataFrame:
     )
 
 
-def top_categories(star: StarSchema) -> DataFrame:
-    products = star.dim_products.filter(F.col("product_category_name").isNotNull()).select(
+CATEGORY_SUMS = ["revenue", "line_rows", "score_sum", "scored_rows"]
+
+
+def product_sums(star: StarSchema) -> DataFrame:
+    """Per product_id of completed orders: orders and the sums behind the category KPIs."""
+    sums = [F.sum(name).alias(name) for name in CATEGORY_SUMS]
+    return order_products(star).groupBy("product_id").agg(F.count("*").alias("orders"), *sums)
+
+
+def _categories(star: StarSchema) -> DataFrame:
+    return star.dim_products.filter(F.col("product_category_name").isNotNull()).select(
         "product_id", F.col("product_category_name").alias("category")
     )
-    sums = ["revenue", "line_rows", "score_sum", "scored_rows"]
-    lines = order_products(star)
-    # A best-selling product meets its category as one row of sums.
-    by_product = lines.groupBy("product_id").agg(*[F.sum(name).alias(name) for name in sums])
-    totals = (
-        by_product.join(products, "product_id")
-        .groupBy("category")
-        .agg(F.count("*").alias("unique_products"), *[F.sum(name).alias(name) for name in sums])
-    )
-    # Its orders may be spread over tasks here, as neither side comes from a bucket scan.
-    orders = (
-        lines.select("order_id", "product_id")
-        .join(products, "product_id")
+
+
+def category_orders(star: StarSchema) -> DataFrame:
+    """Per category how many completed orders hold one of its products."""
+    lines = completed(star.fact_orders).select("order_id").join(star.fact_order_items.select("order_id", "product_id"), "order_id")
+    return (
+        lines.join(_categories(star), "product_id")
         .select("category", "order_id")
         .distinct()
         .groupBy("category")
         .agg(F.count("*").alias("total_orders"))
     )
-    by_category = totals.join(orders, "category")
-    # From here on there is one row per category.
+
+
+def top_categories(star: StarSchema) -> DataFrame:
+    return top_categories_of(product_sums(star), category_orders(star), star)
+
+
+def top_categories_of(products: DataFrame, orders: DataFrame, star: StarSchema) -> DataFrame:
+    """:func:`top_categories` from sums per product and orders per category; ``star`` names the categories."""
+    # A best-selling product meets its category as one row of sums.
+    by_category = (
+        products.join(_categories(star), "product_id")
+        .groupBy("category")
+        .agg(F.count("*").alias("unique_products"), *[F.sum(name).alias(name) for name in CATEGORY_SUMS])
+        .join(orders, "category")
+    )
+    # From here on there is one row per category. The share is of a one-row sum.
+    whole = by_category.agg(F.sum("revenue")).scalar()
     return by_category.select(
         "category",
         "total_orders",
@@ -179,13 +214,13 @@ def top_categories(star: StarSchema) -> DataFrame:
         _money(F.col("revenue")).alias("total_revenue"),
         round_to(ratio(F.col("revenue"), F.col("line_rows")), 2).alias("avg_price"),
         round_to(ratio(F.col("score_sum"), F.col("scored_rows")), 2).alias("avg_review_score"),
-        share_of_all("revenue").alias("revenue_share_pct"),
+        percent(F.col("revenue"), whole).alias("revenue_share_pct"),
         F.rank().over(Window.orderBy(F.desc("revenue"))).alias("revenue_rank"),
     ).orderBy(F.desc("total_revenue"), "category")
 
 
-def delivery_performance(star: StarSchema) -> DataFrame:
-    """Delivered orders per month: days needed, days promised, share on time."""
+def delivery_months(star: StarSchema) -> DataFrame:
+    """Per purchase month the sums behind the delivery KPIs."""
     bought = F.col("order_purchase_timestamp")
     received = F.col("order_delivered_customer_date")
     promised = F.col("order_estimated_delivery_date")
@@ -194,34 +229,50 @@ def delivery_performance(star: StarSchema) -> DataFrame:
         star.fact_orders.filter((F.col("order_status") == "delivered") & received.isNotNull())
         .groupBy(F.trunc(bought, "month").alias("month"))
         .agg(
-            F.count("*").alias("total_delivered"),
-            round_to(ratio(F.sum(needed), F.count(needed)), 1).alias("avg_delivery_days"),
-            round_to(ratio(F.sum(estimated), F.count(estimated)), 1).alias("avg_estimated_days"),
-            F.count_if(received <= promised).alias("on_time_count"),
-            F.count_if(received > promised).alias("late_count"),
+            F.count("*").alias("delivered"),
+            F.sum(needed).alias("needed_days"),
+            F.count(needed).alias("needed_rows"),
+            F.sum(estimated).alias("promised_days"),
+            F.count(estimated).alias("promised_rows"),
+            F.count_if(received <= promised).alias("on_time"),
+            F.count_if(received > promised).alias("late"),
         )
-        .select(
-            "month",
-            F.date_format("month", "yyyy-MM").alias("month_label"),
-            "total_delivered",
-            "avg_delivery_days",
-            "avg_estimated_days",
-            "on_time_count",
-            "late_count",
-            percent(F.col("on_time_count"), F.col("total_delivered")).alias("on_time_rate"),
-        )
-        .orderBy("month")
     )
 
 
+def delivery_performance(star: StarSchema) -> DataFrame:
+    """Delivered orders per month: days needed, days promised, share on time."""
+    return delivery_performance_of(delivery_months(star))
+
+
+def delivery_performance_of(months: DataFrame) -> DataFrame:
+    """:func:`delivery_performance` from sums per month."""
+    return months.select(
+        "month",
+        F.date_format("month", "yyyy-MM").alias("month_label"),
+        F.col("delivered").alias("total_delivered"),
+        round_to(ratio(F.col("needed_days"), F.col("needed_rows")), 1).alias("avg_delivery_days"),
+        round_to(ratio(F.col("promised_days"), F.col("promised_rows")), 1).alias("avg_estimated_days"),
+        F.col("on_time").alias("on_time_count"),
+        F.col("late").alias("late_count"),
+        percent(F.col("on_time"), F.col("delivered")).alias("on_time_rate"),
+    ).orderBy("month")
+
+
 def rfm_segments_mart(
     star: StarSchema, ref_date: date | None = None, high_is_best: bool = False
 ) -> DataFrame:
+    return segments_of(rfm_scored(star, ref_date, high_is_best))
+
+
+def segments_of(scored: DataFrame) -> DataFrame:
+    """:func:`rfm_segments_mart` from scored people."""
+
     def mean(name: str) -> Column:
         return round_to(ratio(F.sum(name), F.count(name)), 2)
 
     return (
-        rfm_scored(star, ref_date, high_is_best)
+        scored
         .withColumn("monetary", F.col("monetary").cast("decimal(38,2)"))
         .groupBy(segment("mart"))
         .agg(

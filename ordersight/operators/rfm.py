@@ -58,8 +58,8 @@ def orders_with_payment(star: StarSchema) -> DataFrame:
     )
 
 
-def rfm_raw(star: StarSchema, ref_date: date | None = None) -> DataFrame:
-    """Per person: last_purchase_date, recency_days, frequency_orders, monetary."""
+def buyers(star: StarSchema) -> DataFrame:
+    """Per customer_unique_id: last_purchase_date, frequency_orders, monetary."""
     # Orders are summed by account before they meet the customer table, so an
     # account with very many orders joins as one row.
     by_account = (
@@ -72,7 +72,7 @@ def rfm_raw(star: StarSchema, ref_date: date | None = None) -> DataFrame:
         )
     )
     accounts = star.dim_customers.select("customer_id", "customer_unique_id")
-    by_person = (
+    return (
         by_account.join(accounts, "customer_id")
         .groupBy("customer_unique_id")
         .agg(
@@ -81,10 +81,19 @@ def rfm_raw(star: StarSchema, ref_date: date | None = None) -> DataFrame:
             F.sum("spent").cast("decimal(38,2)").alias("monetary"),
         )
     )
-    return by_person.select(
+
+
+def rfm_raw(star: StarSchema, ref_date: date | None = None) -> DataFrame:
+    """Per person: last_purchase_date, recency_days, frequency_orders, monetary."""
+    return recency_of(buyers(star), _ref_day(star, ref_date))
+
+
+def recency_of(people: DataFrame, ref_day: Column) -> DataFrame:
+    """:func:`rfm_raw` from the sums per person and the day recency is counted to."""
+    return people.select(
         "customer_unique_id",
         "last_purchase_date",
-        F.datediff(_ref_day(star, ref_date), "last_purchase_date").alias("recency_days"),
+        F.datediff(ref_day, "last_purchase_date").alias("recency_days"),
         "frequency_orders",
         "monetary",
     )
@@ -101,10 +110,15 @@ def rfm_scored(
     1; ``high_is_best`` turns the scale round. Equal values are split by
     customer_unique_id.
     """
+    return scores_of(rfm_raw(star, ref_date), high_is_best)
+
+
+def scores_of(raw: DataFrame, high_is_best: bool = False) -> DataFrame:
+    """:func:`rfm_scored` from the result of :func:`rfm_raw`."""
     sign = -1 if high_is_best else 1
     recency, frequency, monetary = F.col("recency_days"), F.col("frequency_orders"), F.col("monetary")
     scored = add_ntiles(
-        rfm_raw(star, ref_date),
+        raw,
         {
             "recency_score": F.coalesce(recency * sign, F.lit(sign * MISSING).cast("decimal(38,2)")),
             "frequency_score": -sign * frequency,

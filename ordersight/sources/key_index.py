@@ -26,8 +26,8 @@ INDEXED = {
     "dim_products": ["product_id"],
     "dim_sellers": ["seller_id"],
     "dim_date": ["date_id"],
-    "fact_orders": ["order_id"],
-    "fact_order_items": ["order_id"],
+    "fact_orders": ["order_id", "customer_id"],
+    "fact_order_items": ["order_id", "product_id"],
     "fact_order_payments": ["order_id"],
     "fact_order_reviews": ["review_id", "order_id"],
 }
@@ -46,7 +46,7 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
-def _name(uri: str) -> str:
+def file_name(uri: str) -> str:
     """A data file by its path alone; ``file:/x`` and ``file:///x`` name one file."""
     return unquote(urlsplit(uri).path)
 
@@ -87,7 +87,7 @@ class KeyIndex:
         if not _exists(self.spark, self.ranges):
             return {}
         rows = self.spark.read.schema(_file_schema(self.table, self.column)).parquet(self.ranges).collect()
-        return {_name(row.file): row for row in rows}
+        return {file_name(row.file): row for row in rows}
 
     def add(self, paths: list[str]) -> None:
         """Index new data files of the table; the ranges are written last, as they make it count."""
@@ -103,30 +103,30 @@ class KeyIndex:
             # Files side by side, so that a probe reads the row groups of its files only.
             filters.repartition("file").sortWithinPartitions("file", "block").write.mode("append").parquet(self.filters)
         # A file without keys has no range; its row says that it need not be read.
-        held = {_name(row.file) for row in found}
-        bare = [(path, 0, 1, None, None) for path in paths if _name(path) not in held]
+        held = {file_name(row.file) for row in found}
+        bare = [(path, 0, 1, None, None) for path in paths if file_name(path) not in held]
         self.spark.createDataFrame([*map(tuple, found), *bare], schema).coalesce(1).write.mode("append").parquet(self.ranges)
 
     def may_hold(self, keys: DataFrame, paths: list[str]) -> list[str]:
         """Those of the table's data files ``paths`` that may hold one of the ``keys`` (one column)."""
         known = self.files()
-        unknown = [path for path in paths if _name(path) not in known]
-        ranged = [path for path in paths if _name(path) in known and known[_name(path)].keys]
+        unknown = [path for path in paths if file_name(path) not in known]
+        ranged = [path for path in paths if file_name(path) in known and known[file_name(path)].keys]
         if not ranged:
             return unknown
         wanted = keys.select(F.col(keys.columns[0]).alias("key")).where("key IS NOT NULL")
         low, high, count = wanted.agg(F.min("key"), F.max("key"), F.count("*")).first()
-        near = [path for path in ranged if count and known[_name(path)].low <= high and known[_name(path)].high >= low]
+        near = [path for path in ranged if count and known[file_name(path)].low <= high and known[file_name(path)].high >= low]
         if not near or len(near) > MOST_FILES or count * len(near) > MOST_PROBES:
             return unknown + near
-        ranges = self.spark.createDataFrame([known[_name(path)] for path in near], _file_schema(self.table, self.column))
+        ranges = self.spark.createDataFrame([known[file_name(path)] for path in near], _file_schema(self.table, self.column))
         pairs = wanted.join(F.broadcast(ranges), F.col("key").between(F.col("low"), F.col("high")))
         probes = pairs.select("file", _block(F.col("key"), F.col("blocks")).alias("block"), _mask(F.col("key")).alias("mask"))
         filters = self.spark.read.schema("file STRING, block BIGINT, bits BIGINT").parquet(self.filters)
-        filters = filters.where(F.col("file").isin([known[_name(path)].file for path in near]))
+        filters = filters.where(F.col("file").isin([known[file_name(path)].file for path in near]))
         hits = probes.join(filters, ["file", "block"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
-        found = {_name(row.file) for row in hits.select("file").distinct().collect()}
-        return unknown + [path for path in near if _name(path) in found]
+        found = {file_name(row.file) for row in hits.select("file").distinct().collect()}
+        return unknown + [path for path in near if file_name(path) in found]
 
 
 def index_new_files(spark: SparkSession, root: str, table: str, paths: list[str]) -> None:
@@ -134,6 +134,6 @@ def index_new_files(spark: SparkSession, root: str, table: str, paths: list[str]
     for column in INDEXED[table]:
         index = KeyIndex(spark, root, table, column)
         known = index.files()
-        fresh = [path for path in paths if _name(path) not in known]
+        fresh = [path for path in paths if file_name(path) not in known]
         if fresh:
             index.add(fresh)

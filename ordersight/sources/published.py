@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ordersight.operators import marts
+from ordersight.sources.mart_states import MartStates
+from ordersight.sources.star_tables import StarHome
 from ordersight.star import StarSchema
 
 MARTS = [
@@ -22,15 +24,17 @@ MARTS = [
 KEPT_VERSIONS = 2
 
 
-def _versions(spark: SparkSession, folder: str) -> list[str]:
-    """Finished versions below ``folder``, oldest first."""
+def _names(spark: SparkSession, folder: str) -> list[str]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    names = sorted(status.getPath().getName() for status in files.listStatus(path))
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return [name for name in names if files.exists(done(f"{folder}/{name}/_SUCCESS"))]
+    return sorted(status.getPath().getName() for status in files.listStatus(path)) if files.exists(path) else []
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Finished versions below ``folder``, oldest first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [name for name in _names(spark, folder) if files.exists(path(f"{folder}/{name}/_SUCCESS"))]
 
 
 def publish_mart(df: DataFrame, root: str, name: str, database: str | None = None) -> str:
@@ -41,6 +45,8 @@ def publish_mart(df: DataFrame, root: str, name: str, database: str | None = Non
     """
     spark, folder = df.sparkSession, f"{root}/{name}"
     earlier = _versions(spark, folder)
+    # What was begun before the newest finished version and never ended.
+    broken = [name for name in _names(spark, folder) if earlier and name < earlier[-1] and name not in earlier]
     path = f"{folder}/v{time.time_ns():020d}"
     df.coalesce(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
     if database:
@@ -49,7 +55,7 @@ def publish_mart(df: DataFrame, root: str, name: str, database: str | None = Non
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
-    for old in earlier[: 1 - KEPT_VERSIONS]:
+    for old in [*earlier[: 1 - KEPT_VERSIONS], *broken]:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{old}")
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     return path
@@ -74,6 +80,20 @@ def refresh_all(
         publish_mart(df, root, name, database)
 
 
+def refresh_changed(
+    spark: SparkSession, home: StarHome, root: str, ref_date: date | None = None, database: str | None = None
+) -> None:
+    """As :func:`refresh_all` on the star at ``home``, from sums kept below ``root``.
+
+    Only what was loaded since the last refresh is read, with the other rows of the orders
+    it touches (:mod:`ordersight.sources.mart_states`).
+    """
+    states = MartStates(spark, home, f"{root}/_states")
+    states.update()
+    for name, df in states.results(ref_date).items():
+        publish_mart(df, root, name, database)
+
+
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The last complete version."""
     versions = _versions(spark, f"{root}/{name}")

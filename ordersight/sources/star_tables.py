@@ -183,6 +183,21 @@ def table_files(spark: SparkSession, home: StarHome, table: str) -> list[str]:
     return sorted(_read_table(spark, home, table).inputFiles())
 
 
+def files_of_keys(
+    spark: SparkSession, home: StarHome, table: str, keys: DataFrame, column: str | None = None
+) -> tuple[list[str], list[str]]:
+    """(files of a stored table that may hold one of the ``keys`` of an indexed column, all its files)."""
+    paths = table_files(spark, home, table)
+    return KeyIndex(spark, home.root, table, column or INDEXED[table][0]).may_hold(keys, paths), paths
+
+
+def read_files(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
+    """Some data files of a stored table."""
+    if not paths:
+        return spark.createDataFrame([], STAR_SCHEMAS[table])
+    return spark.read.schema(STAR_SCHEMAS[table]).parquet(*paths)
+
+
 def rows_of_keys(
     spark: SparkSession, home: StarHome, table: str, keys: DataFrame, column: str | None = None
 ) -> DataFrame:
@@ -190,14 +205,10 @@ def rows_of_keys(
 
     A table that has them in most of its files is read as a whole, so that its buckets still count.
     """
-    paths = table_files(spark, home, table)
-    column = column or INDEXED[table][0]
-    found = KeyIndex(spark, home.root, table, column).may_hold(keys, paths)
-    if not found:
-        return spark.createDataFrame([], STAR_SCHEMAS[table])
-    if 2 * len(found) > len(paths):
+    found, paths = files_of_keys(spark, home, table, keys, column)
+    if found and 2 * len(found) > len(paths):
         return _read_table(spark, home, table)
-    return spark.read.schema(STAR_SCHEMAS[table]).parquet(*found)
+    return read_files(spark, table, found)
 
 
 def load_idempotent(
