@@ -22,6 +22,7 @@ from ordersight.sources.driver_tables import (
     seller_line_bounds,
     star_from_driver_tables,
 )
+from ordersight.sources.mart_states import MartStates
 from ordersight.star import StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +159,55 @@ def _refresh_all(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Key column and values of each KPI table.
+MART_VALUES = {
+    "kpi_general": (None, ["total_orders", "unique_customers", "active_sellers", "products_sold", "total_revenue", "avg_order_value", "revenue_per_customer", "on_time_delivery_rate", "cancellation_rate", "avg_review_score"]),
+    "revenue_monthly": ("month_label", ["total_orders", "unique_customers", "revenue", "avg_order_value", "prev_month_revenue", "mom_growth_pct"]),
+    "top_categories": ("category", ["total_orders", "unique_products", "total_revenue", "avg_price", "avg_review_score", "revenue_share_pct", "revenue_rank"]),
+    "delivery_performance": ("month_label", ["total_delivered", "avg_delivery_days", "avg_estimated_days", "on_time_count", "late_count", "on_time_rate"]),
+    "rfm_segments": ("segment", ["total_customers", "percentage", "avg_monetary", "avg_frequency", "avg_recency_days"]),
+}
+
+
+def _refresh_changed(spark: SparkSession, folder: str) -> DataFrame:
+    """All values of the KPI tables after a second load, refreshed from stored sums."""
+    target = _new_folder(spark)
+    home = star_tables.StarHome(f"{target}/star")
+    star_tables.create_star(spark, home)
+    star = star_from_driver_tables(spark, folder)
+    # Ids are stored as text; of equal length they sort as the numbers do.
+    person = F.lpad(F.col("customer_unique_id").cast("string"), 12, "0")
+    star = star.replace(dim_customers=star.dim_customers.withColumn("customer_unique_id", person))
+    loads = {
+        "dim_customers": F.col("customer_id") % 3 != 0,
+        "dim_products": F.col("product_id") % 10 != 0,
+        "fact_orders": F.col("order_id") % 4 != 0,
+        "fact_order_items": F.col("order_item_id") % 2 != 0,
+        "fact_order_payments": F.col("payment_sequential") != 2,
+        "fact_order_reviews": F.col("review_id") % 3 != 0,
+    }
+    for first in (True, False):
+        for table, part in loads.items():
+            rows = star.table(table)
+            star_tables.load_idempotent(rows.where(part) if first else rows, home, table)
+        if first:
+            MartStates(spark, home, f"{target}/marts/_states").update()
+    published.refresh_changed(spark, home, f"{target}/marts")
+    parts = []
+    for mart, (key, columns) in MART_VALUES.items():
+        df = published.read_mart(spark, f"{target}/marts", mart)
+        named = df.select(F.col(key).alias("name") if key else F.lit("all").alias("name"), *[F.col(c).cast("double").alias(c) for c in columns])
+        parts.append(named.unpivot(["name"], columns, "measure", "value").withColumn("mart", F.lit(mart)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _write_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned reviews after a trip through a snapshot file."""
+    cleaned = cleaning.clean_reviews(raw_dataset(spark, folder, "reviews"), RAW_ORDER)
+    path = csv_files.write_clean(cleaned, _new_folder(spark), "order_reviews")
+    return spark.read.schema(cleaned.schema).options(header=True, multiLine=True, escape='"').csv(path)
+
+
 QUERIES: dict[str, Query] = {
     "row_counts": _on_star(quality.row_counts),
     "orphan_items": _on_cleaned(quality.orphan_items),
@@ -191,6 +241,8 @@ QUERIES: dict[str, Query] = {
     "read_raw": _read_raw,
     "run_etl": _run_etl,
     "refresh_all": _refresh_all,
+    "refresh_changed": _refresh_changed,
+    "write_clean": _write_clean,
     "rfm_reference_date": _on_star(rfm.rfm_reference_date),
     "orders_with_payment": lambda spark, folder: rfm.orders_with_payment(
         star_from_driver_tables(spark, folder)
