@@ -186,39 +186,36 @@ def _lacks_required(dataset: str) -> Column:
 
 
 def clean_metrics(raw: dict[str, DataFrame], order: list[str] = FILE_ORDER) -> DataFrame:
-    """dataset, initial_rows, dropped_rows (no required key, after repeats are gone)."""
+    """dataset, initial_rows, dropped_rows (no required key, after repeats are gone), each file read once."""
     result = None
     for dataset, df in raw.items():
-        measured = [
-            df.select(F.lit(1).alias("initial"), F.lit(0).alias("dropped")),
-        ]
-        if REQUIRED[dataset]:
-            keys = list(dict.fromkeys([*REQUIRED[dataset], UNIQUE.get(dataset, REQUIRED[dataset][0])]))
-            ordering = order if dataset in UNIQUE else []
-            kept = _drop_repeats(df.select(*keys, *ordering), dataset, order)
-            measured.append(
-                kept.filter(_lacks_required(dataset)).select(
-                    F.lit(0).alias("initial"), F.lit(1).alias("dropped")
-                )
-            )
-        rows = measured[0] if len(measured) == 1 else measured[0].unionAll(measured[1])
+        # Per row that stays after repeats are gone: rows before, and whether it will be dropped.
+        lacks = _lacks_required(dataset).cast("int")
+        if dataset in UNIQUE and REQUIRED[dataset]:
+            rows = df.groupBy(UNIQUE[dataset]).agg(F.count("*").alias("rows"), F.min_by(lacks, F.struct(*order)).alias("lacks"))
+        else:
+            rows = df.select(F.lit(1).alias("rows"), lacks.alias("lacks"))
         counted = rows.agg(
             F.lit(dataset).alias("dataset"),
-            F.coalesce(F.sum("initial"), F.lit(0)).cast("bigint").alias("initial_rows"),
-            F.coalesce(F.sum("dropped"), F.lit(0)).cast("bigint").alias("dropped_rows"),
+            F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("initial_rows"),
+            F.coalesce(F.sum("lacks"), F.lit(0)).cast("bigint").alias("dropped_rows"),
         )
         result = counted if result is None else result.unionAll(counted)
     return result
 
 
-def observe_rows(df: DataFrame, dataset: str) -> tuple[DataFrame, Observation]:
-    """Count rows, and rows without a required key, while another action runs."""
-    seen = Observation(f"{dataset}_rows")
-    return (
-        df.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(_lacks_required(dataset)).alias("without_key"),
-        ),
-        seen,
-    )
+class WatchedRows:
+    """The counts of :func:`clean_metrics`, taken while a load cleans a dataset.
+
+    Clean ``rows`` instead of the raw frame: repeats are gone from them already.
+    """
+
+    def __init__(self, raw: DataFrame, dataset: str, order: list[str] = FILE_ORDER):
+        self._raw, self._kept = Observation(f"{dataset}_raw"), Observation(f"{dataset}_kept")
+        watched = raw.observe(self._raw, F.count(F.lit(1)).alias("rows"))
+        kept = _drop_repeats(watched, dataset, order)
+        self.rows = kept.observe(self._kept, F.count_if(_lacks_required(dataset)).alias("dropped"))
+
+    def counts(self) -> tuple[int, int]:
+        """(initial_rows, dropped_rows); waits for the action that reads the rows."""
+        return self._raw.get["rows"], self._kept.get["dropped"]

@@ -299,8 +299,8 @@ def run_etl(
         if dataset == "dates":
             clean, seen = _clean(dataset, raw, order), None
         else:
-            watched, seen = cleaning.observe_rows(raw[dataset], dataset)
-            clean = _clean(dataset, {dataset: watched}, order)
+            seen = cleaning.WatchedRows(raw[dataset], dataset, order)
+            clean = _clean(dataset, {dataset: seen.rows}, order)
         load_order = [name for name in order if name in clean.columns]
         # A snapshot is one more use of it, so then the raw files are read and cleaned once too.
         with stored_while(clean) if snapshots else nullcontext(clean) as rows:
@@ -308,5 +308,5 @@ def run_etl(
                 write_clean(rows.drop(*load_order), snapshots, snapshot, snapshot_format)
             load_idempotent(rows, home, table, load_order or None, null_keys)
         if seen is not None:
-            log.info("%s: %s raw rows, %s without key", table, seen.get["rows"], seen.get["without_key"])
+            log.info("%s: %s raw rows, %s dropped without key", dataset, *seen.counts())
     return read_star(spark, home)

@@ -142,11 +142,19 @@ def test_null_profile_and_metrics(raw):
     assert values(cleaning.clean_metrics({"orders": df}, ORDER)) == [("orders", 4, 1)]
 
 
-def test_observe_rows_counts_while_running(raw):
-    df = raw(["order_id"], [("a", 1), (None, 2)])
-    watched, seen = cleaning.observe_rows(df, "payments")
-    watched.collect()
-    assert seen.get == {"rows": 2, "without_key": 1}
+def test_watched_rows_count_while_cleaning(raw):
+    """As the metrics do: repeats are gone before rows without key are counted."""
+    rows = [("o", "c", 1), ("o", None, 2), (None, "c", 3), (None, "d", 4), ("p", None, 5), ("p", "c", 6)]
+    df = raw(["order_id", "customer_id"], rows)
+    seen = cleaning.WatchedRows(df, "orders", ORDER)
+    seen.rows.dropna(subset=["order_id", "customer_id"]).collect()
+    assert seen.counts() == (6, 2)
+    assert values(cleaning.clean_metrics({"orders": df}, ORDER)) == [("orders", *seen.counts())]
+    # One scan of the raw rows, and no second shuffle where a cleaner drops repeats again.
+    plan = cleaning.clean_metrics({"orders": df}, ORDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Relation [") == 1
+    again = cleaning._drop_repeats(cleaning.WatchedRows(df, "orders", ORDER).rows, "orders", ORDER)
+    assert again._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
 
 
 def _items(spark, key, price):

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from ordersight.__main__ import main
-from ordersight.operators import marts, quality, ranking
+from ordersight.operators import cleaning, marts, quality, ranking
 from ordersight.plans.shared_store import drop_stored, shared_folder, store
 from ordersight.sources import csv_files, published
 from ordersight.sources.star_tables import (
@@ -157,6 +157,14 @@ def test_run_etl_loads_and_repeats(spark, raw_folder, tmp_path, kind):
     assert reviews.first().review_comment_message == 'two\nlines with "quotes"'
 
 
+def test_the_log_of_a_load_agrees_with_the_metrics(spark, raw_folder, tmp_path, caplog):
+    raw = csv_files.read_raw(spark, raw_folder)
+    with caplog.at_level("INFO", logger="ordersight.sources.star_tables"):
+        run_etl(raw, StarHome(str(tmp_path / "star")))
+    expected = [f"{name}: {rows} raw rows, {dropped} dropped without key" for name, rows, dropped in values(cleaning.clean_metrics(raw))]
+    assert sorted(record.getMessage() for record in caplog.records) == sorted(expected)
+
+
 def test_bucketed_tables_join_without_shuffle(spark, make_star, tmp_path):
     home = StarHome(str(tmp_path / "star"), database="shop_joins", buckets=4)
     create_star(spark, home)
