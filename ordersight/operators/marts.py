@@ -27,10 +27,14 @@ def _money(amount: Column) -> Column:
 KPI_SUMS = ["orders", "paid", "valued_rows", "rows", "canceled_rows", "delivered_rows", "on_time_rows", "score_sum", "scored_rows"]
 
 
-def person_kpis(star: StarSchema) -> DataFrame:
-    """Per customer_unique_id the sums behind the general KPIs."""
-    items = star.fact_order_items.groupBy("order_id").agg(F.count("*").alias("item_rows"))
-    orders = (
+def counted_orders(star: StarSchema, with_pairs: bool = False) -> DataFrame:
+    """Orders with lines and payments, and what the general KPIs need of each.
+
+    ``with_pairs`` adds the different (seller_id, product_id) of an order's lines, at most as many as its lines.
+    """
+    pair = [F.collect_set(F.struct("seller_id", "product_id")).alias("pairs")] if with_pairs else []
+    items = star.fact_order_items.groupBy("order_id").agg(F.count("*").alias("item_rows"), *pair)
+    return (
         star.fact_orders.select(
             "order_id",
             "customer_id",
@@ -44,21 +48,30 @@ def person_kpis(star: StarSchema) -> DataFrame:
         .join(payment_totals(star), "order_id")
         .join(review_totals(star), "order_id", "left")
     )
+
+
+def _kpi_sums() -> dict[str, Column]:
+    """What a counted order adds to the general KPIs: it weighs items x payments x reviews."""
     pairs = F.col("item_rows") * copies(F.col("review_rows"))
     rows = pairs * F.col("payment_rows")
     scored = F.col("item_rows") * F.col("payment_rows")
+    return {
+        "orders": F.lit(1).cast("bigint"),
+        "paid": (F.col("paid") * pairs.cast("decimal(15,0)")).cast("decimal(38,2)"),
+        "valued_rows": F.col("valued_rows") * pairs,
+        "rows": rows,
+        "canceled_rows": F.when(F.col("canceled"), rows).otherwise(0),
+        "delivered_rows": F.when(F.col("delivered"), rows).otherwise(0),
+        "on_time_rows": F.when(F.col("on_time"), rows).otherwise(0),
+        "score_sum": F.col("score_sum") * scored,
+        "scored_rows": F.col("scored_rows") * scored,
+    }
+
+
+def person_kpis(star: StarSchema) -> DataFrame:
+    """Per customer_unique_id the sums behind the general KPIs."""
     # Sum by account, then by person: unique customers are then a plain count.
-    by_account = orders.groupBy("customer_id").agg(
-        F.count("*").alias("orders"),
-        F.sum(F.col("paid") * pairs.cast("decimal(15,0)")).cast("decimal(38,2)").alias("paid"),
-        F.sum(F.col("valued_rows") * pairs).alias("valued_rows"),
-        F.sum(rows).alias("rows"),
-        F.sum(F.when(F.col("canceled"), rows).otherwise(0)).alias("canceled_rows"),
-        F.sum(F.when(F.col("delivered"), rows).otherwise(0)).alias("delivered_rows"),
-        F.sum(F.when(F.col("on_time"), rows).otherwise(0)).alias("on_time_rows"),
-        F.sum(F.col("score_sum") * scored).alias("score_sum"),
-        F.sum(F.col("scored_rows") * scored).alias("scored_rows"),
-    )
+    by_account = counted_orders(star).groupBy("customer_id").agg(*[F.sum(value).alias(name) for name, value in _kpi_sums().items()])
     accounts = star.dim_customers.select("customer_id", "customer_unique_id")
     return (
         by_account.join(accounts, "customer_id")
@@ -88,7 +101,24 @@ def kpi_general(star: StarSchema) -> DataFrame:
     Amounts, rates and averages weigh an order by items x payments x reviews,
     as that join does; the rows themselves are never built.
     """
-    return kpi_general_of(person_kpis(star), seller_products(star))
+    orders = counted_orders(star, with_pairs=True)
+    accounts = star.dim_customers.select("customer_id", "customer_unique_id")
+    orders = orders.join(accounts, "customer_id")
+    # Each order gives a row of sums and a row per pair of seller and product, and both are
+    # gathered in one aggregate: every fact is read once.
+    sums = _kpi_sums()
+    person = F.struct(F.lit(True).alias("person"), F.col("customer_unique_id").cast("string").alias("a"), F.lit(None).cast("string").alias("b"), *[sums[name].alias(name) for name in KPI_SUMS])
+    nothing = [F.lit(None).cast(orders.select(sums[name]).schema[0].dataType).alias(name) for name in KPI_SUMS]
+    pairs = F.transform("pairs", lambda pair: F.struct(F.lit(False).alias("person"), pair["seller_id"].cast("string").alias("a"), pair["product_id"].cast("string").alias("b"), *nothing))
+    rows = orders.select(F.inline(F.concat(F.array(person), pairs)))
+    found = rows.groupBy("person", "a", "b").agg(*[F.sum(name).alias(name) for name in KPI_SUMS])
+    totals = found.agg(
+        *[F.sum(name).alias(name) for name in KPI_SUMS],
+        F.count(F.when(F.col("person"), F.col("a"))).alias("people"),
+        F.count_distinct(F.when(~F.col("person"), F.col("a"))).alias("sellers"),
+        F.count_distinct(F.when(~F.col("person"), F.col("b"))).alias("products"),
+    )
+    return _kpi_rates(totals)
 
 
 def kpi_general_of(people: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -100,12 +130,17 @@ def kpi_general_of(people: DataFrame, pairs: DataFrame) -> DataFrame:
             F.count_distinct("product_id").alias("products"),
         )
     ).scalar()
+    return _kpi_rates(totals.withColumn("active", active).select("*", "active.*"))
+
+
+def _kpi_rates(totals: DataFrame) -> DataFrame:
+    """The general KPIs from one row of sums and counts."""
     paid = _money(F.col("paid"))
-    return totals.withColumn("active", active).select(
+    return totals.select(
         F.coalesce("orders", F.lit(0)).cast("bigint").alias("total_orders"),
         F.col("people").alias("unique_customers"),
-        F.col("active.sellers").alias("active_sellers"),
-        F.col("active.products").alias("products_sold"),
+        F.col("sellers").alias("active_sellers"),
+        F.col("products").alias("products_sold"),
         paid.alias("total_revenue"),
         round_to(ratio(paid, F.col("valued_rows")), 2).alias("avg_order_value"),
         round_to(ratio(paid, F.col("people")), 2).alias("revenue_per_customer"),
@@ -182,9 +217,11 @@ def _categories(star: StarSchema) -> DataFrame:
 
 def category_orders(star: StarSchema) -> DataFrame:
     """Per category how many completed orders hold one of its products."""
-    lines = completed(star.fact_orders).select("order_id").join(star.fact_order_items.select("order_id", "product_id"), "order_id")
+    # As in :func:`product_sums`, so that a report on both reads what was shuffled once.
     return (
-        lines.join(_categories(star), "product_id")
+        order_products(star)
+        .select("order_id", "product_id")
+        .join(_categories(star), "product_id")
         .select("category", "order_id")
         .distinct()
         .groupBy("category")
@@ -205,8 +242,7 @@ def top_categories_of(products: DataFrame, orders: DataFrame, star: StarSchema)
         .agg(F.count("*").alias("unique_products"), *[F.sum(name).alias(name) for name in CATEGORY_SUMS])
         .join(orders, "category")
     )
-    # From here on there is one row per category. The share is of a one-row sum.
-    whole = by_category.agg(F.sum("revenue")).scalar()
+    # From here on there is one row per category.
     return by_category.select(
         "category",
         "total_orders",
@@ -214,7 +250,7 @@ def top_categories_of(products: DataFrame, orders: DataFrame, star: StarSchema)
         _money(F.col("revenue")).alias("total_revenue"),
         round_to(ratio(F.col("revenue"), F.col("line_rows")), 2).alias("avg_price"),
         round_to(ratio(F.col("score_sum"), F.col("scored_rows")), 2).alias("avg_review_score"),
-        percent(F.col("revenue"), whole).alias("revenue_share_pct"),
+        share_of_all("revenue").alias("revenue_share_pct"),
         F.rank().over(Window.orderBy(F.desc("revenue"))).alias("revenue_rank"),
     ).orderBy(F.desc("total_revenue"), "category")
 

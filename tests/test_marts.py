@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 
 from ordersight.operators import marts
+from ordersight.sources.star_tables import StarHome, store_star
 from tests.conftest import order, values
 
 
@@ -93,3 +94,23 @@ def test_delivery_performance(star):
     assert values(marts.delivery_performance(star)) == [
         (date(2018, 1, 1), "2018-01", 2, 13.0, 7.5, 1, 1, 50.0)
     ]
+
+
+def test_general_kpis_read_each_fact_once(spark, make_star, tmp_path):
+    star = make_star(
+        customers=[("c", "u"), ("d", None)],
+        orders=[order("o", "c", "2018-01-05"), order("q", "d", "2018-01-06"), order("alone", "x", "2018-01-07")],
+        items=[("o", 1, "p", "s", 10, 1), ("o", 2, "p", "s", 10, 1), ("o", 3, "p2", "s", 10, 1), ("q", 1, "p3", None, 10, 1), ("alone", 1, "p4", "t", 5, 1)],
+        payments=[("o", 1, "card", 1, 11), ("q", 1, "card", 1, None), ("alone", 1, "card", 1, 3)],
+    )
+    stored = store_star(star, StarHome(str(tmp_path / "star")))
+    found = marts.kpi_general(stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for column in ("order_status", "product_id", "payment_value", "review_score", "customer_unique_id"):
+        assert sum(column in line.split("ReadSchema")[-1] for line in plan.splitlines() if "FileScan" in line) == 1, column
+    assert plan.count("FileScan parquet") == 5
+    row = found.first()
+    assert (row.total_orders, row.unique_customers, row.active_sellers, row.products_sold) == (2, 1, 1, 3)
+    assert row.total_revenue == 33.0 and row.avg_order_value == 11.0
+    # The sums kept per person and pair give the same.
+    assert values(marts.kpi_general_of(marts.person_kpis(stored), marts.seller_products(stored))) == [tuple(row)]
