@@ -14,16 +14,16 @@ probability of their weighted Jaccard similarity. The draws are looked up in a t
 bits of the shingle's hash for the sample. Samples are banded; equal texts are
 one document.
 
-Documents of a bucket are compared with leaders, in rounds: a round takes a few
-leaders outside the bucket's largest class, compares them with the documents of other
-classes, and joins the classes of those at least ``SIMILAR``. A bucket is done when it is one
-class, or when every document outside its largest class has been leader. So copies of
-one document cost one comparison each, no pairs of a group are listed, and no
-link that joins two classes of a bucket is missed.
+Units are the different texts. All units of a bucket are compared with one of them, the
+bucket's leader, and links give classes; so copies of one document cost one comparison each.
+Where the other units of a bucket are still of several classes, all units of different
+classes are compared, block by block inside the tasks: a bucket is dealt into blocks by a hash of
+its units, every two blocks meet, and a task gives a spanning forest of the classes it found to be
+linked, not the pairs. So no link that joins two classes of a bucket is missed.
 
 Defined cases: null and empty texts, and texts without words, are near only to
-equal texts; a null id is in no class and kept; rows of one id are one document; an
-empty table gives no row.
+equal texts; a null id is in no class and kept; rows of one id are one document, which is linked
+with whatever one of its texts is linked with; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ SAMPLES = BANDS * BAND_ROWS
 FREQUENT = 1 / 200
 #: Pairs that agree in fewer samples are no candidates: five standard deviations below SIMILAR.
 LEAST_EQUAL = 40
+#: Mean number of units, and mean bytes of their sets, that a block of a bucket holds at most.
+BLOCK_UNITS, BLOCK_BYTES = 2048, 1 << 24
 SKETCH_BITS = 19
 SLICE = 1 << 14
 
@@ -90,11 +92,11 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 class Weights:
     """Inverse document frequencies: those of the frequent shingles, and one for all others."""
 
-    def __init__(self, frequent: dict[int, int], documents: int):
-        hashes = np.array(list(frequent), np.int64).view(np.uint64)
+    def __init__(self, frequent: pa.Table, documents: int):
+        hashes = frequent["hash"].to_numpy().view(np.uint64)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
-        counts = np.array(list(frequent.values()), float)[order]
+        counts = frequent["n"].to_numpy().astype(float)[order]
         self.values = np.log1p(documents / np.maximum(counts, 1))
         self.others = float(np.log1p(1 / FREQUENT))
 
@@ -126,7 +128,7 @@ def samples(owners: np.ndarray, hashes: np.ndarray, weights: np.ndarray, usual:
     return owners[starts], kept
 
 
-def _frequent_shingles(texts: DataFrame, documents: int) -> dict[int, int]:
+def _frequent_shingles(texts: DataFrame, documents: int) -> pa.Table:
     """Document frequency of the shingles in at least ``FREQUENT`` of the documents."""
     spark = texts.sparkSession
     least = max(2, int(np.ceil(documents * FREQUENT)))
@@ -165,19 +167,20 @@ def _frequent_shingles(texts: DataFrame, documents: int) -> dict[int, int]:
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], ["hash", "n"])
 
     counted = texts.mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    found = counted.toArrow()
-    return dict(zip(found["hash"].to_pylist(), found["n"].to_pylist()))
+    return counted.toArrow()
 
 
 def _signatures(docs: DataFrame, weights) -> DataFrame:
-    """doc, same (hash of the text), bands, signature (16 bits a sample); no bands without words."""
+    """doc, same (hash of the text), bands, signature (16 bits a sample), bytes of the set; no bands without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bands: list = [None] * batch.num_rows
             signs: list = [None] * batch.num_rows
+            sizes = np.zeros(batch.num_rows, np.int64)
             for first, data, offsets in byte_words.chunks(batch.column("text")):
                 owners, hashes, counts = shingle_sets(data, offsets)
+                sizes[first : first + len(offsets) - 1] = 8 * np.bincount(owners, minlength=len(offsets) - 1)
                 rows, kept = samples(owners, hashes, weights.value.of(hashes, counts), weights.value.others)
                 joined = np.zeros((len(rows), BANDS), np.uint64)
                 for k in range(BAND_ROWS):
@@ -187,31 +190,31 @@ def _signatures(docs: DataFrame, weights) -> DataFrame:
                 for row, band, sign_ in zip(rows.tolist(), joined, short):
                     bands[first + row], signs[first + row] = band, sign_.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("same"), pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
-                ["doc", "same", "bands", "sign"],
+                [batch.column("doc"), batch.column("same"), pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary()), pa.array(sizes)],
+                ["doc", "same", "bands", "sign", "size"],
             )
 
-    return docs.mapInArrow(sign, "doc long, same binary, bands array<long>, sign binary")
+    return docs.mapInArrow(sign, "doc long, same binary, bands array<long>, sign binary, size long")
 
 
-def _weighted_sets(docs: DataFrame, weights) -> DataFrame:
-    """doc and its set: 32 bits of each hash, ascending, and the weights."""
+def _weighted_sets(texts: DataFrame, weights) -> DataFrame:
+    """unit and its set: 32 bits of each hash, ascending, and the weights."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, blobs = [], []
-            docs = np.asarray(batch.column("doc"))
+            units = np.asarray(batch.column("unit"))
             for first, data, offsets in byte_words.chunks(batch.column("text")):
                 owners, hashes, counts = shingle_sets(data, offsets)
                 values = weights.value.of(hashes, counts).astype("<f4")
                 short = (hashes >> np.uint64(32)).astype("<u4")
                 bounds = np.searchsorted(owners, np.arange(len(offsets)))
                 for row, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    ids.append(docs[first + row])
+                    ids.append(units[first + row])
                     blobs.append(short[a:b].tobytes() + values[a:b].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], ["doc", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], ["unit", "items"])
 
-    return docs.select("doc", "text").mapInArrow(sets, "doc long, items binary")
+    return texts.select("unit", "text").mapInArrow(sets, "unit long, items binary")
 
 
 def weighted_jaccard(one: bytes, other: bytes) -> float:
@@ -236,7 +239,7 @@ def _likely(pairs: DataFrame, signs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(enough), batch.column("b").filter(enough)], ["a", "b"])
 
     for side in ("a", "b"):
-        pairs = pairs.join(signs.select(F.col("doc").alias(side), F.col("sign").alias(f"sign_{side}")), side)
+        pairs = pairs.join(signs.select(F.col("unit").alias(side), F.col("sign").alias(f"sign_{side}")), side)
     return pairs.mapInArrow(agree, "a long, b long")
 
 
@@ -248,39 +251,93 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("doc").alias(side), F.col("items").alias(f"items_{side}")), side)
+        pairs = pairs.join(sets.select(F.col("unit").alias(side), F.col("items").alias(f"items_{side}")), side)
     return pairs.mapInArrow(verify, "a long, b long")
 
 
-def _classes(buckets: DataFrame, signs: DataFrame, sets: DataFrame, similar: float) -> DataFrame | None:
-    """(id, component) of documents that are near to another one, by rounds of leaders."""
-    classes, links, used = None, None, None
-    leaders_a_bucket = 1
-    while True:
-        cells = buckets.withColumn("class", F.col("doc"))
-        if classes is not None:
-            cells = buckets.join(classes, buckets.doc == classes.id, "left").select("bucket", "doc", F.coalesce("component", "doc").alias("class"))
-        cells = store(cells)
-        sizes = cells.groupBy("bucket", "class").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1")
-        open_ = cells.join(main, "bucket").where("class != main.class").select("bucket", "doc", "class")
-        if used is not None:
-            open_ = open_.join(used, ["bucket", "doc"], "left_anti")
-        part = F.pmod(F.xxhash64("doc"), F.lit(leaders_a_bucket))
-        leaders = store(open_.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("doc", "class")).alias("leader")).select("bucket", "leader"))
-        if leaders.isEmpty():
-            return classes
-        met = cells.join(leaders, "bucket").where("class != leader.class")
-        pairs = met.select(F.least("doc", "leader.doc").alias("a"), F.greatest("doc", "leader.doc").alias("b")).distinct()
-        found = store(_verified(_likely(pairs, signs), sets, similar))
-        new_used = leaders.select("bucket", F.col("leader.doc").alias("doc"))
-        used = new_used if used is None else used.unionByName(new_used)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            classes = components(links)
-        # Buckets without a leader are done for good: classes only grow together.
-        buckets = cells.join(leaders.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "doc")
-        leaders_a_bucket *= 16
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group, which may go over several batches."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        groups = batch.column("group").to_numpy()
+        edges = np.flatnonzero(groups[1:] != groups[:-1]) + 1
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(groups)]):
+            if a == b:
+                continue
+            if held and groups[a] != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = groups[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _forest(pair: pa.Table, similar: float) -> list[tuple[int, int]]:
+    """Links that join the classes of two blocks (or one with itself); one for each two classes that become one."""
+    units, classes = pair["unit"].to_numpy(), pair["class"].to_numpy().copy()
+    first, second = (np.flatnonzero(pair[side].to_numpy()) for side in ("first", "second"))
+    own = len(first) == len(second) == len(units)
+    if (classes == classes[0]).all():
+        return []
+    signs = np.frombuffer(b"".join(pair["sign"].to_pylist()), "<u2").reshape(-1, SAMPLES)
+    blobs = pair["items"].to_pylist()
+    sizes = np.array([len(x) // 8 for x in blobs])
+    starts = np.cumsum(sizes) - sizes
+    shingles, places = np.unique(np.concatenate([np.frombuffer(x, "<u4", len(x) // 8) for x in blobs]), return_inverse=True)
+    weights = np.concatenate([np.frombuffer(x, "<f4", len(x) // 8, len(x) // 2) for x in blobs]).astype(float)
+    totals = np.add.reduceat(weights, starts)
+    mine = np.zeros(len(shingles))
+    links = []
+    for i in first:
+        others = second[second > i] if own else second
+        others = others[classes[others] != classes[i]]
+        others = others[(signs[others] == signs[i]).sum(1) >= LEAST_EQUAL]
+        if not len(others):
+            continue
+        here = slice(starts[i], starts[i] + sizes[i])
+        mine[places[here]] = weights[here]
+        ends = np.cumsum(sizes[others])
+        entries = np.arange(ends[-1]) + np.repeat(starts[others] - ends + sizes[others], sizes[others])
+        shared = np.add.reduceat(np.minimum(mine[places[entries]], weights[entries]), ends - sizes[others])
+        mine[places[here]] = 0
+        for j in others[shared / (totals[i] + totals[others] - shared) >= similar]:
+            if classes[j] != classes[i]:
+                links.append((units[i], units[j]))
+                classes[classes == classes[j]] = classes[i]
+    return links
+
+
+def _links_in_blocks(cells: DataFrame, signs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) that join the classes of each bucket of ``cells`` (bucket, unit, class, size)."""
+    by_class = cells.groupBy("bucket", "class").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_UNITS), F.ceil(F.sum("bytes") / BLOCK_BYTES))
+    several = by_class.groupBy("bucket").agg(F.count("*").alias("classes"), blocks.alias("blocks")).where("classes > 1")
+    dealt = cells.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    group = F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"))
+    met = met.select("unit", "class", group.alias("group"), (F.col("block") <= F.col("other")).alias("first"), (F.col("block") >= F.col("other")).alias("second"))
+    met = met.join(signs.select("unit", "sign"), "unit").join(sets, "unit")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pair in _groups(batches):
+            links = _forest(pair, similar)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*links)], ["a", "b"])
+
+    return met.repartition("group").sortWithinPartitions("group").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _links(buckets: DataFrame, signs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) of units that share a bucket; the classes they give are whole."""
+    leaders = buckets.groupBy("bucket").agg(F.min("unit").alias("leader"))
+    led = store(buckets.join(leaders, "bucket").where("unit != leader"))
+    pairs = led.select(F.col("leader").alias("a"), F.col("unit").alias("b")).distinct()
+    found = store(_verified(_likely(pairs, signs), sets, similar))
+    classes = components(found)
+    cells = led.join(classes, led.unit == classes.id, "left").select("bucket", "unit", F.coalesce("component", "unit").alias("class"), "size")
+    return found.unionByName(store(_links_in_blocks(cells, signs, sets, similar)))
 
 
 def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -288,24 +345,30 @@ def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFra
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     known = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"))
+    known = known.withColumn("same", F.unhex(F.sha2("text", 256)))
     documents = known.count()
-    frequent = _frequent_shingles(known.select("text"), documents)
-    weights = spark.sparkContext.broadcast(Weights(frequent, documents))
-    signed = store(_signatures(known.withColumn("same", F.unhex(F.sha2("text", 256))), weights))
-    firsts = signed.groupBy("same").agg(F.min("doc").alias("first"))
-    members = store(signed.select("doc", "same").join(firsts, "same").select("doc", "first"))
-    own = members.where("doc = first").select("doc").distinct()
-    signs = store(signed.where("bands is not null").join(own, "doc", "left_semi").select("doc", "bands", "sign"))
-    exploded = signs.select("doc", F.explode("bands").alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low != high").select("bucket")
-    buckets = store(exploded.join(shared, "bucket").distinct())
-    candidates = buckets.select("doc").distinct()
-    sets = store(_weighted_sets(known.join(candidates.hint("shuffle_hash"), "doc", "left_semi"), weights).dropDuplicates(["doc"]))
-    classes = _classes(buckets, signs.dropDuplicates(["doc"]), sets, similar)
-    if classes is None:
-        return members.select(F.col("doc").alias("doc_id"), F.col("first").alias("class_id")).distinct()
-    joined = members.join(classes, members["first"] == classes.id, "left")
-    return joined.groupBy(F.col("doc").alias("doc_id")).agg(F.min(F.coalesce("component", "first")).alias("class_id"))
+    weights = spark.sparkContext.broadcast(Weights(_frequent_shingles(known.select("text"), documents), documents))
+    signed = _signatures(known.select("doc", "same", "text"), weights)
+    # Rows of one text are alike in all but the id.
+    distinct = signed.groupBy("same").agg(F.min("doc").alias("first"), *[F.any_value(c).alias(c) for c in ("bands", "sign", "size")])
+    units = store(distinct.withColumn("unit", F.monotonically_increasing_id()))
+    members = store(known.select("doc", "same").distinct().join(units.select("same", "unit", "first"), "same").select("doc", "unit", "first"))
+    exploded = units.where("bands is not null").select("unit", "size", F.explode(F.array_distinct("bands")).alias("bucket"))
+    shared = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    buckets = store(exploded.join(shared, "bucket"))
+    candidates = buckets.select("unit").distinct()
+    signs = units.select("unit", "sign").join(candidates, "unit", "left_semi")
+    wanted = units.join(candidates, "unit", "left_semi").select("unit", F.col("first").alias("doc"), "same")
+    texts = known.join(wanted.hint("shuffle_hash"), ["doc", "same"])
+    sets = store(_weighted_sets(texts, weights).dropDuplicates(["unit"]))
+    # An id that names several texts joins them.
+    ids = members.groupBy("doc").agg(F.min("unit").alias("low"), F.max("unit").alias("high")).where("low < high")
+    of_one_id = members.join(ids, "doc").where("unit != low").select(F.col("low").alias("a"), F.col("unit").alias("b")).distinct()
+    classes = components(_links(buckets, signs, sets, similar).unionByName(of_one_id))
+    named = classes.join(units.select(F.col("unit").alias("id"), "first"), "id")
+    least = classes.join(named.groupBy("component").agg(F.min("first").alias("least")), "component").select("id", "least")
+    joined = members.join(least, members.unit == least.id, "left")
+    return joined.select(F.col("doc").alias("doc_id"), F.coalesce("least", "first").alias("class_id")).distinct()
 
 
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:

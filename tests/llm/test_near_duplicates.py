@@ -76,6 +76,23 @@ def test_chains_and_large_groups(spark):
     assert found(table(spark, rows)) == expected(rows)
 
 
+def test_similar_but_not_near(spark, monkeypatch):
+    """Copies of one text that are near it and not near each other, in blocks of a few units."""
+    monkeypatch.setattr(nd, "BLOCK_UNITS", 7)
+    base = prose(4, 220)
+    rows = [(k, edited(base, 8, 5 * k)) for k in range(50)] + [(90, base)]
+    rows += [(100 + k, edited(edited(prose(5, 160), 5, k), 1, 3 * k)) for k in range(40)]
+    assert found(table(spark, rows)) == expected(rows)
+    assert found(table(spark, rows[:50])) == expected(rows[:50])
+
+
+def test_an_id_with_two_texts(spark):
+    one, other = prose(6, 90), prose(7, 90)
+    rows = [(5, one), (5, other), (1, one), (2, other), (3, prose(8, 90))]
+    for order in (rows, rows[::-1]):
+        assert found(table(spark, order)) == expected(order) == [(1, 1), (2, 1), (3, 3), (5, 1)]
+
+
 def test_samples_agree_as_often_as_weights_overlap():
     draw = np.random.default_rng(5)
     hashes = np.sort(draw.integers(1, 2**63, 4000).astype(np.uint64))
