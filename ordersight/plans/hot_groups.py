@@ -1,10 +1,15 @@
 """Ordered windows over groups that may be too large for one task.
 
 A window with PARTITION BY gives each group to one task. That is the cheapest
-plan while groups are of a bounded size, so groups are checked first: those
-within ``max_rows`` take the plain window, the others are range-sorted so that
-one group spreads over many tasks, and what a row needs from an earlier task is
-carried over from a summary with one row per sorted partition and group.
+plan while groups are of a bounded size; the rows of larger groups spread over
+many tasks.
+
+* :func:`add_previous` is one lazy plan: groups beyond ``max_rows`` are cut into
+  slices that follow the order, and the first row of a slice takes its value from a
+  summary with one row per slice.
+* :func:`add_ranks` checks the groups first: those within ``max_rows`` take the plain
+  window, the others are range-sorted, and what a row needs from an earlier task is
+  carried over from a summary with one row per sorted partition and group.
 """
 
 from __future__ import annotations
@@ -47,47 +52,37 @@ def add_previous(
     previous: dict[str, str],
     row_bounds: DataFrame,
     max_rows: int = MAX_GROUP_ROWS,
+    slices: list[Column] | None = None,
 ) -> DataFrame:
     """``lag(column, 1)`` within ``group`` for each ``previous[new_name] = column``.
 
     ``order`` must be unique within a group. ``row_bounds`` has (group, n) with
-    n an upper bound of the group's rows.
+    n an upper bound of the group's rows. ``slices`` (the first column of ``order`` by
+    default) cut a group with more than ``max_rows``: ascending with NULL last they must
+    follow ``order``, and the different ones of a group must fit a task.
     """
     ascending = [F.asc_nulls_last(name) for name in order]
-
-    def plain(rows: DataFrame) -> DataFrame:
-        by_group = Window.partitionBy(group).orderBy(*ascending)
-        return rows.select(
-            "*", *[F.lag(source).over(by_group).alias(name) for name, source in previous.items()]
-        )
-
-    def spread(rows: DataFrame) -> DataFrame:
-        placed = _range_sorted(rows, [F.col(group), *ascending])
-        in_slot = Window.partitionBy("_slot", group).orderBy("_pos")
-        values = F.struct(*[F.col(source).alias(name) for name, source in previous.items()])
-        # The last row of every sorted partition, handed to the next one.
-        last_rows = placed.groupBy("_slot").agg(
-            F.max_by(F.struct(F.col(group).alias("owner"), values.alias("values")), "_pos").alias("last")
-        )
-        carried = last_rows.select(
-            "_slot", F.lag("last").over(Window.orderBy("_slot")).alias("_carried")
-        )
-        # One row per sorted partition, so the broadcast has a fixed bound.
-        found = (
-            placed.withColumn("_before", F.lag(values).over(in_slot))
-            .withColumn("_first", F.row_number().over(in_slot) == 1)
-            .join(F.broadcast(carried), "_slot", "left")
-        )
-        handed = F.when(
-            F.col("_carried.owner").eqNullSafe(F.col(group)), F.col("_carried.values")
-        )
-        chosen = F.when(F.col("_first"), handed).otherwise(F.col("_before"))
-        return found.withColumn("_chosen", chosen).select(
-            *rows.columns, *[F.col(f"_chosen.{name}").alias(name) for name in previous]
-        )
-
-    small, large = _split(df, group, row_bounds, max_rows)
-    return plain(small) if large is None else plain(small).unionByName(spread(large))
+    # At most one key for every ``max_rows`` rows.
+    large = F.broadcast(row_bounds.filter(F.col("n") > max_rows).select(F.col(group).alias("_large"), F.lit(True).alias("_hot")))
+    cuts = {f"_slice{k}": F.when(F.col("_hot"), cut) for k, cut in enumerate(slices or [F.col(order[0])])}
+    marked = df.join(large, F.col(group).eqNullSafe(F.col("_large")), "left").withColumns(cuts).drop("_large", "_hot")
+    # One exchange, which both the rows and the summary read.
+    dealt = marked.withColumn("_part", F.xxhash64(group, *cuts)).repartition("_part")
+    keys = ["_part", group, *cuts]
+    values = F.struct(*[F.col(source).alias(name) for name, source in previous.items()])
+    place = F.struct(*[part for name in order for part in (F.col(name).isNull(), F.col(name))])
+    # All columns take part, so that the summary needs the same exchange as the rows.
+    last = F.max_by(F.struct(F.struct(*df.columns).alias("row"), values.alias("values")), place).alias("last")
+    by_slice = Window.partitionBy(group).orderBy(*[F.asc_nulls_last(name) for name in cuts])
+    carried = dealt.groupBy(*keys).agg(last).select(*keys, F.lag("last").over(by_slice).alias("_carried"))
+    in_slice = Window.partitionBy(*keys).orderBy(*ascending)
+    rows = dealt.withColumn("_before", F.lag(values).over(in_slice)).withColumn("_first", F.row_number().over(in_slice) == 1)
+    same = F.col("r._part") == F.col("c._part")
+    for name in keys[1:]:
+        same &= F.col(f"r.{name}").eqNullSafe(F.col(f"c.{name}"))
+    chosen = F.when(F.col("_first"), F.col("_carried.values")).otherwise(F.col("_before"))
+    found = rows.alias("r").join(carried.alias("c"), same).withColumn("_chosen", chosen)
+    return found.select(*[F.col(f"r.{name}") for name in df.columns], *[F.col(f"_chosen.{name}") for name in previous])
 
 
 def add_ranks(

@@ -84,6 +84,27 @@ def test_previous_and_ranks_match_windows(spark, skewed, max_rows, partitions):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+@pytest.mark.parametrize("max_rows", [0, 400, 10_000])
+def test_previous_is_lazy_and_cut_by_several_columns(spark, skewed, max_rows):
+    """Days without a value, slices of equal days, no job before an action."""
+    df = skewed.withColumn("day", F.when(F.col("id") % 11 > 0, F.col("day"))).withColumn("code", F.format_string("%05d", "id"))
+    bounds = df.groupBy("grp").agg(F.count("*").alias("n"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "")
+    mine = add_previous(df, "grp", ["day", "code"], {"prev": "amount"}, bounds, max_rows, [F.col("day"), F.substring("code", 1, 3)])
+    assert not tracker.getJobIdsForGroup("lazy")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    window = Window.partitionBy("grp").orderBy(F.asc_nulls_last("day"), "code")
+    plain = df.select("id", F.lag("amount").over(window).alias("prev"))
+    assert sorted(values(mine, "id", "prev"), key=str) == sorted(values(plain), key=str)
+
+
+def test_deliveries_join_the_facts_once(random_star):
+    """Rows and summary read one exchange; the lines are read once more, for the sizes of the groups."""
+    for operator in (ranking.seller_deliveries, ranking.seller_delivery_trend, ranking.seller_trend_summary):
+        assert "ReusedExchange" in _executed(operator(random_star))
+
+
 def test_keep_first_cuts_copies_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("key"), "id")
     kept = keep_first(df, ["key"], ["id"])
