@@ -23,7 +23,7 @@ from ordersight.sources.driver_tables import (
     star_from_driver_tables,
 )
 from ordersight.sources.mart_states import MartStates
-from ordersight.star import StarSchema
+from ordersight.star import STAR_SCHEMAS, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,6 +201,22 @@ def _refresh_changed(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _create_star(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of the created tables as their files hold them, with the values loaded into each."""
+    home = star_tables.StarHome(f"{_new_folder(spark)}/star")
+    star_tables.store_star(star_from_driver_tables(spark, folder), home)
+    parts = []
+    for name in STAR_SCHEMAS:
+        # No schema is given: names, order and types come from the files.
+        stored = spark.read.parquet(home.path(name))
+        fields = [
+            F.struct(F.lit(place).alias("place"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("kind"), F.count(f.name).alias("n_values"))
+            for place, f in enumerate(stored.schema, 1)
+        ]
+        parts.append(stored.agg(F.array(*fields).alias("fields")).select(F.lit(name).alias("table_name"), F.inline("fields")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _write_clean(spark: SparkSession, folder: str) -> DataFrame:
     """The cleaned reviews after a trip through a snapshot file."""
     cleaned = cleaning.clean_reviews(raw_dataset(spark, folder, "reviews"), RAW_ORDER)
@@ -243,6 +259,7 @@ QUERIES: dict[str, Query] = {
     "refresh_all": _refresh_all,
     "refresh_changed": _refresh_changed,
     "write_clean": _write_clean,
+    "create_star": _create_star,
     "rfm_reference_date": _on_star(rfm.rfm_reference_date),
     "orders_with_payment": lambda spark, folder: rfm.orders_with_payment(
         star_from_driver_tables(spark, folder)
