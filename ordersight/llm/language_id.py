@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordersight.llm import byte_words
-from ordersight.llm.tables import as_rows, id_remainder, table
+from ordersight.llm.tables import as_rows, first_of_each, id_remainder, table
 
 TRAIN_ROWS = 3_000
 TRAIN_WINDOWS = 3
@@ -145,29 +145,27 @@ def cut_windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> ByteNetwork | None:
-    """Fit on at most ``rows`` rows of ``labelled`` (doc_id, text, lang)."""
+    """Fit on at most ``rows`` rows of ``labelled`` (doc_id, text, lang); of rows that share an id on one of them."""
     known = labelled.where("lang is not null and text is not null and doc_id is not null")
-    keys = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    chosen = known.join(F.broadcast(keys.distinct()), "doc_id").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    keys = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    chosen = known.join(F.broadcast(keys), "doc_id").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            taken, owner = [], []
-            for first, data, offsets in byte_words.chunks(batch.column("text")):
+            taken = []
+            for _, data, offsets in byte_words.chunks(batch.column("text")):
                 windows, owners = cut_windows(data, offsets)
                 bounds = np.searchsorted(owners, np.arange(len(offsets)))
-                for row, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    for at in np.unique(np.linspace(a, b - 1, TRAIN_WINDOWS).astype(int)):
-                        taken.append(windows[at].tobytes())
-                        owner.append(first + row)
-            at = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), pa.array(taken, pa.binary()), batch.column("lang").take(at)], ["doc_id", "bytes", "lang"]
-            )
-
-    found = chosen.mapInArrow(sample, "doc_id long, bytes binary, lang string").toArrow().sort_by([("doc_id", "ascending"), ("bytes", "ascending")])
+                taken += [windows[np.unique(np.linspace(a, b - 1, TRAIN_WINDOWS).astype(int))].tobytes() for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(taken, pa.binary()), batch.column("lang")], ["doc_id", "bytes", "lang"])
+
+    found = first_of_each(chosen.mapInArrow(sample, "doc_id long, bytes binary, lang string"), "doc_id").toArrow()
     if found.num_rows == 0:
         return None
+    cut = [[b[k : k + WINDOW] for k in range(0, len(b), WINDOW)] for b in found["bytes"].to_pylist()]
+    at = pa.array(np.repeat(np.arange(len(cut)), [len(c) for c in cut]))
+    found = found.select(["doc_id", "lang"]).take(at).append_column("bytes", pa.array([w for c in cut for w in c], pa.binary()))
+    found = found.sort_by([("doc_id", "ascending"), ("bytes", "ascending")])
     names = found["lang"].to_pylist()
     languages = sorted(set(names))
     windows = np.frombuffer(b"".join(found["bytes"].to_pylist()), np.uint8).reshape(-1, WINDOW)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordersight.llm import byte_words
-from ordersight.llm.tables import as_rows, id_remainder, table
+from ordersight.llm.tables import as_rows, first_of_each, id_remainder, table
 
 TRAIN_ROWS = 12_000
 WORD_BITS = 17
@@ -205,6 +205,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Machine | float:
     """Fit on at most ``rows`` rows of ``labelled`` (doc_id, label), those of the smallest id hash.
 
+    Of documents that share an id one is learned from, so the driver gets at most ``rows`` of them.
     Without both labels the result is a constant score.
     """
     chosen = labelled.where("label in (0, 1) and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
@@ -222,11 +223,11 @@ def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Machi
                 ["doc_id", "slots", "stats", "label"],
             )
 
-    found = joined.mapInArrow(extract, "doc_id long, slots binary, stats binary, label int").toArrow()
+    extracted = joined.mapInArrow(extract, "doc_id long, slots binary, stats binary, label int")
+    found = first_of_each(extracted, "doc_id", "label").toArrow()
     if found.num_rows == 0:
         return 0.5
-    order = np.argsort(found["doc_id"].to_numpy(), kind="stable")[:rows]
-    found = found.take(pa.array(order))
+    found = found.sort_by("doc_id")
     labels = found["label"].to_numpy().astype(float)
     if labels.min() == labels.max():
         return float(labels[0])

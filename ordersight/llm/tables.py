@@ -52,6 +52,13 @@ def partitions_for(amount: int, each: int, least: int) -> int:
     return max(least, -(-amount // each))
 
 
+def first_of_each(df: DataFrame, *keys: str) -> DataFrame:
+    """One row of each key, that with the smallest hash of the other columns; each task sends one row a key."""
+    others = [name for name in df.columns if name not in keys]
+    best = F.min(F.struct(F.xxhash64(*others).alias("_hash"), *others)).alias("_first")
+    return df.groupBy(*keys).agg(best).select(*[name if name in keys else F.col(f"_first.{name}").alias(name) for name in df.columns])
+
+
 def as_rows(docs: DataFrame, *columns: str) -> DataFrame:
     """One struct column ``row`` of the named columns (all by default), text as string.
 

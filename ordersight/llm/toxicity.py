@@ -23,6 +23,7 @@ a category without examples of both kinds gets its share (0 without any labels).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordersight.llm import byte_words, quality_model
-from ordersight.llm.tables import as_rows, table
+from ordersight.llm.tables import as_rows, first_of_each, table
 
 CATEGORIES = ("flagged", "toxic", "severe")
 TRAIN_ROWS = 12_000
@@ -166,7 +167,10 @@ def chain_probabilities(models: list[Linear], x: Features) -> np.ndarray:
 
 
 def train(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...], rows: int = TRAIN_ROWS) -> list[Linear] | None:
-    """Fit on at most ``rows`` rows of ``labelled`` (doc_id and a 0/1 column per category)."""
+    """Fit on at most ``rows`` rows of ``labelled`` (doc_id and a 0/1 column per category).
+
+    Of documents that share an id one is learned from, so the driver gets at most ``rows`` of them.
+    """
     known = labelled.where("doc_id is not null").dropna(subset=list(categories))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", *categories).limit(rows)
     # At most `rows` keys, so they are sent to the documents rather than these to them.
@@ -182,13 +186,16 @@ def train(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...], row
                 [batch.column("doc_id"), pa.array(slots, pa.binary()), pa.array(stats, pa.binary()), batch.column("labels")], ["doc_id", "slots", "stats", "labels"]
             )
 
-    found = joined.mapInArrow(extract, "doc_id long, slots binary, stats binary, labels array<int>").toArrow()
+    extracted = joined.mapInArrow(extract, "doc_id long, slots binary, stats binary, labels array<int>")
+    found = first_of_each(extracted, "doc_id", "labels").toArrow()
     if found.num_rows == 0:
         return None
-    found = found.take(pa.array(np.argsort(found["doc_id"].to_numpy(), kind="stable")[:rows]))
+    found = found.sort_by("doc_id")
     slots = [np.frombuffer(s, np.int32) for s in found["slots"].to_pylist()]
     x = Features(np.concatenate(slots), np.append(0, np.cumsum([len(s) for s in slots])), np.array([np.frombuffer(s) for s in found["stats"].to_pylist()]))
-    return fit_chain(x, np.array(found["labels"].to_pylist()), np.arange(found.num_rows) % FOLDS)
+    # By text, so that copies of one lie in one fold.
+    folds = np.array([zlib.crc32(s.tobytes()) % FOLDS for s in slots])
+    return fit_chain(x, np.array(found["labels"].to_pylist()), folds)
 
 
 def score_toxicity(docs: DataFrame, models: list[Linear] | None, categories: tuple[str, ...], *columns: str) -> DataFrame:

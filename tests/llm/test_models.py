@@ -163,3 +163,37 @@ def test_gradients_are_the_slopes_of_the_loss():
         down = loss()
         network.weights[name][at] = kept
         assert np.isclose((up - down) / 2e-5, slopes[name][at], rtol=1e-3, atol=1e-6)
+
+
+def test_training_rows_are_bounded_when_one_id_has_many_rows(spark, monkeypatch):
+    """10,000 rows of one id: at most the stated number of rows is learned from, one of each id."""
+    docs = spark.range(10_000).selectExpr("7L doc_id", "concat('text é number ', id) text", "if(id % 2 = 0, 'aa', 'bb') lang", "id n_chars")
+    more = spark.range(20).selectExpr("id + 100 doc_id", "concat('other words ', id) text", "if(id % 2 = 0, 'aa', 'bb') lang", "id n_chars")
+    docs = docs.unionAll(more)
+    labels = docs.select("doc_id").distinct().selectExpr("doc_id", "cast(doc_id % 2 as int) label", "cast(doc_id % 2 as int) a", "cast(doc_id % 3 = 0 as int) b")
+    sizes = []
+    monkeypatch.setattr(quality_model, "fit", lambda batches, y: sizes.append(len(y)))
+    monkeypatch.setattr(toxicity, "fit_chain", lambda x, y, folds: sizes.append(len(y)))
+    monkeypatch.setattr(language_id, "fit", lambda windows, y, names: sizes.append(len(y)))
+    quality_model.train(docs, labels, rows=10)
+    toxicity.train(docs, labels, ("a", "b"), rows=10)
+    language_id.train(docs, rows=10)
+    assert sizes == [10, 10, 10]
+    sizes.clear()
+    quality_model.train(docs, labels)
+    toxicity.train(docs, labels, ("a", "b"))
+    language_id.train(docs)
+    assert sizes == [21, 21, 21]
+
+
+def test_copies_of_a_text_lie_in_one_fold(spark, monkeypatch):
+    docs = spark.range(60).selectExpr("id doc_id", "concat('words of text number ', id % 5) text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) a", "cast(doc_id % 3 = 0 as int) b")
+    found = []
+    monkeypatch.setattr(toxicity, "fit_chain", lambda x, y, folds: found.append((x, folds)))
+    toxicity.train(docs, labels, ("a", "b"))
+    x, folds = found[0]
+    copies = {}
+    for (a, b), fold in zip(zip(x.bounds, x.bounds[1:]), folds):
+        copies.setdefault(x.slots[a:b].tobytes(), set()).add(int(fold))
+    assert len(folds) == 60 and len(copies) == 5 and all(len(f) == 1 for f in copies.values())
