@@ -30,14 +30,20 @@ from pyspark.sql import functions as F
 
 from ordersight.llm.byte_words import mix
 from ordersight.llm.pretokens import encoder
-from ordersight.llm.tables import partitions_for, table, text_bytes
+from ordersight.llm.tables import table, text_bytes
 from ordersight.plans.shared_store import store
 
 WINDOW = 2048
 END = 1
 #: Bytes of text in a shard.
 SHARD_BYTES = 8 << 20
+#: Tasks that fill shards; more shards are dealt to them in ranges.
+MOST_TASKS = 200_000
 K1, B = 1.2, 0.75
+#: Terms in more than one of so many texts are rows of a shard's matrix, while it has at most so many cells.
+SPARSE, MATRIX_CELLS = 32, 6 << 20
+#: Seeds whose scores come from one product.
+SEEDS_AT_ONCE = 32
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -58,40 +64,70 @@ class Statistics:
 
 
 class Index:
-    """BM25 postings of the texts of a shard, with the statistics of all documents."""
+    """BM25 postings of the texts of a shard, with the statistics of all documents.
+
+    Gains are whole multiples of 2^-30, so that their sums are exact in any order. Terms in many
+    texts are held as rows of a matrix, and the scores of several seeds come from one product.
+    """
 
     def __init__(self, ids: list[np.ndarray], statistics: Statistics | None = None):
         sizes = np.array([len(x) for x in ids], np.int64)
-        self.n = len(ids)
-        keys = (np.concatenate(ids).astype(np.uint64) << np.uint64(32)) | np.repeat(np.arange(self.n, dtype=np.uint64), sizes)
+        n = len(ids)
+        keys = (np.concatenate(ids).astype(np.uint64) << np.uint64(32)) | np.repeat(np.arange(n, dtype=np.uint64), sizes)
         keys.sort()
         new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         times = np.diff(np.append(new, len(keys)))
         self.docs = (keys[new] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         terms = (keys[new] >> np.uint64(32)).astype(np.int64)
         self.first = np.searchsorted(terms, np.arange(int(terms.max()) + 2))
-        self.frequency = np.diff(self.first)
-        statistics = statistics or Statistics(self.n, float(sizes.mean()), self.frequency)
+        statistics = statistics or Statistics(n, float(sizes.mean()), np.diff(self.first))
         norm = K1 * (1 - B + B * sizes / statistics.mean)
-        self.gain = statistics.rarity[terms] * times * (K1 + 1) / (times + norm[self.docs])
+        self.gain = np.rint(statistics.rarity[terms] * times * (K1 + 1) / (times + norm[self.docs]) * 2.0**30) / 2.0**30
+        #: The texts that are left; ``docs`` and scores count in them.
+        self.texts = np.arange(n)
+        self._arrange()
+
+    def _arrange(self) -> None:
+        """Choose the terms of the matrix; scores do not depend on the choice."""
+        self.frequency = np.diff(self.first)
+        n = len(self.texts)
+        often = np.flatnonzero(self.frequency * SPARSE > n)
+        often = often[np.argsort(-self.frequency[often], kind="stable")[: MATRIX_CELLS // max(n, 1)]]
+        self._row = np.full(len(self.frequency), -1, np.int64)
+        self._row[often] = np.arange(len(often))
+        self._matrix = np.zeros((len(often), n))
+        for row, term in enumerate(often):
+            span = slice(self.first[term], self.first[term + 1])
+            self._matrix[row, self.docs[span]] = self.gain[span]
+
+    def scores(self, seeds: list[np.ndarray]) -> np.ndarray:
+        """Per seed the BM25 scores of ``texts`` for all of its terms."""
+        n = len(self.texts)
+        out, asked = np.zeros((len(seeds), n)), np.zeros((len(seeds), len(self._matrix)))
+        for k, ids in enumerate(seeds):
+            terms = np.unique(ids)
+            terms = terms[self.frequency[terms] > 0]
+            rows = self._row[terms]
+            asked[k, rows[rows >= 0]] = 1
+            spans = [slice(self.first[t], self.first[t + 1]) for t in terms[rows < 0]]
+            if spans:
+                out[k] = np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.gain[s] for s in spans]), n)
+        return out + asked @ self._matrix
 
     def neighbours(self, ids: np.ndarray, unused: np.ndarray) -> np.ndarray:
         """Unused texts by their BM25 score for all terms of ``ids``, best first."""
-        terms = np.unique(ids)
-        terms = terms[self.frequency[terms] > 0]
-        if not len(terms):
-            return np.zeros(0, np.int64)
-        spans = [slice(self.first[t], self.first[t + 1]) for t in terms]
-        scores = np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.gain[s] for s in spans]), self.n)
-        found = np.flatnonzero((scores > 0) & unused)
-        return found[np.argsort(-scores[found], kind="stable")]
+        scores = self.scores([ids])[0]
+        found = np.flatnonzero((scores > 0) & unused[self.texts])
+        return self.texts[found[np.argsort(-scores[found], kind="stable")]]
 
     def shrink(self, unused: np.ndarray) -> None:
-        """Leave out postings of used texts; scores of the others stay."""
-        kept = unused[self.docs]
-        self.docs, self.gain = self.docs[kept], self.gain[kept]
+        """Leave out used texts; scores of the others stay."""
+        keep = unused[self.texts]
+        kept = keep[self.docs]
+        self.docs, self.gain = (np.cumsum(keep) - 1)[self.docs[kept]], self.gain[kept]
         self.first = np.append(0, np.cumsum(kept))[self.first]
-        self.frequency = np.diff(self.first)
+        self.texts = self.texts[keep]
+        self._arrange()
 
 
 def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int, statistics: Statistics | None = None) -> Iterator[list[tuple[int, int, int]]]:
@@ -109,30 +145,43 @@ def pack(sizes: np.ndarray, ids: list[np.ndarray], window: int, statistics: Stat
     # Long rests first, so that short ones are there to fill what is left.
     order = np.argsort(-left, kind="stable")
     turn = 0
-    indexed = remaining = int(unused.sum())
+    remaining = int(unused.sum())
+    scored: dict[int, np.ndarray] = {}
     while remaining:
-        if remaining < 0.7 * indexed:
+        if remaining < 0.7 * len(index.texts):
             index.shrink(unused)
-            indexed = remaining
+            scored = {}
         while not unused[order[turn]]:
             turn += 1
         seed = int(order[turn])
         pieces, room = [(seed, int(starts[seed]), int(left[seed]))], window - int(left[seed])
+        if room and seed not in scored:
+            ahead = order[turn : turn + 4 * SEEDS_AT_ONCE]
+            ahead = ahead[unused[ahead]][: max(1, min(SEEDS_AT_ONCE, MATRIX_CELLS // len(index.texts)))]
+            scored = dict(zip(ahead.tolist(), index.scores([ids[t] for t in ahead])))
         unused[seed] = False
         remaining -= 1
-        ranked = index.neighbours(ids[seed], unused) if room and remaining else []
-        for text in ranked:
-            if left[text] <= room:
-                pieces.append((int(text), int(starts[text]), int(left[text])))
-                room -= int(left[text])
-                unused[text] = False
-                remaining -= 1
-                if not room:
-                    break
+        # Scores of the texts that can still be taken, 0 for all others.
+        score = np.where(unused[index.texts], scored.pop(seed), 0) if room and remaining else np.zeros(0)
+        sizes_left = left[index.texts] if len(score) else score
+        while room and len(score):
+            fitting = np.where(sizes_left <= room, score, 0)
+            best = int(fitting.argmax())
+            if not fitting[best]:
+                break
+            score[best] = 0
+            text = int(index.texts[best])
+            pieces.append((text, int(starts[text]), int(left[text])))
+            room -= int(left[text])
+            unused[text] = False
+            remaining -= 1
         at = turn
         while room and remaining:
-            best = next((int(t) for t in ranked if unused[t]), None)
-            if best is None:
+            if len(score) and score.max():
+                found = int(score.argmax())
+                score[found] = 0
+                best = int(index.texts[found])
+            else:
                 while not unused[order[at]]:
                     at += 1
                 best = int(order[at])
@@ -276,8 +325,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> Dat
         if docs:
             yield _pack_shard(current, docs, ids, window, shared.value)
 
-    parts = partitions_for(shards, 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    gathered = dealt.select("shard", "doc_id", "row", "small", "ids").repartition(parts, "shard").sortWithinPartitions("shard", "doc_id", "row")
+    # Each shard is a task of its own; beyond a number of tasks, ranges of shards are.
+    parts = min(shards, MOST_TASKS)
+    place = F.floor(F.col("shard") * F.lit(parts) / F.lit(shards)).cast("int")
+    gathered = dealt.select("shard", "doc_id", "row", "small", "ids").repartitionById(parts, place).sortWithinPartitions("shard", "doc_id", "row")
     return gathered.mapInArrow(fill, _PIECES)
 
 
