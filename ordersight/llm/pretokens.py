@@ -4,7 +4,8 @@ Such a tokenizer lower-cases a text, splits it by a pattern into pre-tokens
 (contractions, runs of letters, single digits, runs of other marks) and encodes each one
 on its own. So the ids of every different pre-token are asked of the tokenizer once
 per worker and kept in a table by the pre-token's 64-bit hash. Texts beyond Latin-1,
-and texts that may hold a special token's string, go to the tokenizer whole.
+and texts that may hold a special token's string, go to the tokenizer whole; ``parts``
+gives their pre-tokens as the tokenizer splits them.
 """
 
 from __future__ import annotations
@@ -168,6 +169,17 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def parts(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per text the first character and the number of ids of its pre-tokens, by the tokenizer's own split."""
+        out = []
+        for coded in self.tokenizer.encode_batch(texts, add_special_tokens=False):
+            words = np.array([-1 if w is None else w for w in coded.word_ids], np.int64)
+            # A special token is no word and a part of its own.
+            new = np.flatnonzero((words < 0) | (np.append(-2, words[:-1]) != words))
+            starts = np.array([first for first, _ in coded.offsets], np.int64)[new]
+            out.append((starts, np.diff(np.append(new, len(words)))))
+        return out
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as the tokenizer gives them without special tokens."""
         out: list[np.ndarray | None] = [None] * len(texts)

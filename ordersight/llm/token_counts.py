@@ -113,18 +113,15 @@ def count_edited(coder: Encoder, texts: list[str], edits: list[list[Edit]]) -> l
         out[row] = (tree.total, tree.total, 0)
         if edits[row]:
             trees[row] = (tree, found.starts[a:b] - shift[at])
-    for row, text in enumerate(texts):
-        if plain[row] is None:
-            # Not split here, so the whole text is one leaf.
-            total = len(coder.whole(text))
-            out[row] = (total, total, 0)
-            if edits[row]:
-                trees[row] = (SegmentTree(np.array([total])), None)
+    # Texts beyond Latin-1 get their leaves from the tokenizer's split.
+    others = [k for k, p in enumerate(plain) if p is None]
+    for row, (starts, sizes) in zip(others, coder.parts([texts[k] for k in others])):
+        tree = SegmentTree(sizes)
+        out[row] = (tree.total, tree.total, 0)
+        if edits[row]:
+            trees[row] = (tree, starts)
     pending = []
     for row, (tree, starts) in trees.items():
-        if starts is None:
-            pending.append((row, 0, 1, apply_edits(texts[row], sorted(edits[row]))))
-            continue
         for left, right, new in stretches(texts[row], edits[row]):
             first, past = np.searchsorted(starts, [left, right])
             pending.append((row, int(first), int(past), new))

@@ -81,6 +81,21 @@ def test_all_terms_of_a_seed_count():
             assert np.allclose(scores[mine], np.sort(scores[mine])[::-1])
 
 
+def test_sequences_do_not_depend_on_the_matrix(monkeypatch):
+    """Scores are the same bit by bit, whichever terms are rows of the matrix and however many seeds share a product."""
+    draw = np.random.default_rng(8)
+    ids = [np.minimum(draw.zipf(1.3, draw.integers(1, 150)), 2000) for _ in range(300)]
+    sizes = np.array([len(x) for x in ids])
+    found = []
+    for sparse, cells, seeds in ((32, 6 << 20, 32), (2, 6 << 20, 7), (32, 2000, 32), (32, 0, 1)):
+        monkeypatch.setattr(packing, "SPARSE", sparse)
+        monkeypatch.setattr(packing, "MATRIX_CELLS", cells)
+        monkeypatch.setattr(packing, "SEEDS_AT_ONCE", seeds)
+        found.append(list(packing.pack(sizes, ids, 160)))
+    assert all(f == found[0] for f in found)
+    assert sum(n for s in found[0] for *_, n in s) == sizes.sum()
+
+
 def test_shards_by_content(spark, monkeypatch):
     """Small shards: statistics of all documents, texts alike together, and rows of a null id in several shards."""
     monkeypatch.setattr(packing, "SHARD_BYTES", 4000)
@@ -132,6 +147,27 @@ def test_edited_counts(tokenizer):
         assert after == len(tokenizer.encode(token_counts.apply_edits(text, edits), add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("letters", ["аб Ёж, “x”—1\u0301", "日本語。 x\u3000y", "가각\u1100\u1161 é\u0327 ", ["a", "“", " ", "<|endoftext|>", "<|", "|>"]])
+def test_edited_counts_beyond_latin(tokenizer, letters):
+    """Random edits of texts that the tokenizer splits itself, also with special tokens."""
+    coder = Encoder(PATH)
+    draw = random.Random(5)
+    for _ in range(300):
+        text = "".join(draw.choice(letters) for _ in range(draw.randrange(40)))
+        cuts = sorted(draw.sample(range(len(text) + 1), min(len(text) + 1, 2 * draw.randrange(3))))
+        edits = [(a, b, draw.choice(["", " ", "'ll", "語", "\u0301", "<|endoftext|>"])) for a, b in zip(cuts[::2], cuts[1::2])]
+        before, after, _ = token_counts.count_edited(coder, [text], [edits])[0]
+        assert before == len(tokenizer.encode(text, add_special_tokens=False).ids)
+        assert after == len(tokenizer.encode(token_counts.apply_edits(text, edits), add_special_tokens=False).ids)
+
+
+def test_a_curly_quote_changes_no_leaf():
+    coder = Encoder(PATH)
+    text = prose(4, 500) + " write to someone@example.com now"
+    replaced = [token_counts.count_edited(coder, [t], [token_counts.redactions(t)])[0][2] for t in (text, text + " ”")]
+    assert replaced[0] == replaced[1] < 8
+
+
 def test_only_what_an_edit_touches_is_encoded_again():
     coder = Encoder(PATH)
     text = prose(4, 500) + " write to someone@example.com now"
