@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ordersight.operators.cleaning import ORDER_DAYS, PRODUCT_NUMBERS
+from ordersight.sources.quoted_lines import read_records
 
 # The columns of each raw dataset that are used.
 RAW_COLUMNS = {
@@ -68,6 +69,7 @@ def read_raw(
     folder: str,
     files: dict[str, str] | None = None,
     multi_line: tuple[str, ...] = ("reviews",),
+    split: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
     """The seven datasets as strings, found by header name, in lazy frames.
 
@@ -76,41 +78,64 @@ def read_raw(
     ``_row``), so "the first of several" means the first in the file however
     the file is split.
 
-    Datasets in ``multi_line`` may hold line breaks inside quotes. Spark cannot
-    split such a file over tasks, so give a large one as a folder of part files.
+    Datasets in ``multi_line`` may hold line breaks inside quotes. One task reads
+    such a file, unless the dataset is in ``split`` too: then many tasks do
+    (``sources/quoted_lines``), with equal rows, which pays for large files only.
     """
     files = {**RAW_FILES, **(files or {})}
     return {
-        name: _read_csv(spark, f"{folder}/{files[name]}", name, name in multi_line)
+        name: _read_csv(spark, f"{folder}/{files[name]}", name, name in multi_line, name in split)
         for name in RAW_COLUMNS
     }
 
 
 def _read_csv(
-    spark: SparkSession, path: str, dataset: str, multi_line: bool = False
+    spark: SparkSession, path: str, dataset: str, multi_line: bool = False, split: bool = False
 ) -> DataFrame:
     # Only the header line is read here; no values are inspected.
     header = spark.read.option("header", True).csv(path).columns
     missing = [name for name in RAW_COLUMNS[dataset] if name not in header]
     if missing:
         raise ValueError(f"{path} lacks columns {missing}")
-    reader = (
-        spark.read.schema(StructType([StructField(name, StringType()) for name in header]))
-        .option("header", True)
-        # A part file with its columns in another order fails rather than being read by place.
-        .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
-    return reader.csv(path).select(
+    schema = StructType([StructField(name, StringType()) for name in header])
+    if multi_line and split:
+        rows = _parsed(read_records(spark, path), schema)
+    else:
+        rows = (
+            spark.read.schema(schema)
+            .option("header", True)
+            # A part file with its columns in another order fails rather than being read by place.
+            .option("enforceSchema", False)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .csv(path)
+            .select(
+                *RAW_COLUMNS[dataset],
+                F.col("_metadata.file_path").alias("_file"),
+                F.col("_metadata.file_block_start").alias("_block"),
+                F.monotonically_increasing_id().alias("_row"),
+            )
+        )
+    return rows.select(
         *[F.when(~F.col(name).isin(NULL_TEXTS), F.col(name)).alias(name) for name in RAW_COLUMNS[dataset]],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+        "_file",
+        "_block",
+        "_row",
     )
 
 
+def _parsed(records: DataFrame, schema: StructType) -> DataFrame:
+    """Fields of CSV records; a file whose first record has other names fails."""
+    header = F.array(*[F.lit(f.name) for f in schema])
+    columns = ", ".join(f"`{f.name}` string" for f in schema)
+    parsed = records.withColumn("fields", F.from_csv("record", columns, {"quote": '"', "escape": '"'}))
+    names = F.array(*[F.regexp_replace(F.col(f"fields.`{f.name}`"), "^\ufeff", "") for f in schema])
+    wrong = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema in "), "_file", F.lit(": "), "record"))
+    data = F.when(F.col("is_first") & (F.lower(F.array_join(names, ",")) != F.lower(F.array_join(header, ","))), wrong.cast("boolean")).otherwise(~F.col("is_first"))
+    return parsed.filter(data).select("fields.*", "_file", "_block", "_row")
+
+
 def write_clean(df: DataFrame, folder: str, name: str, file_format: str = "csv") -> str:
     """Save a cleaned dataset as ``<folder>/<name>_clean.<format>``, with header if CSV."""
     path = f"{folder}/{name}_clean.{file_format}"
