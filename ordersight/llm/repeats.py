@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,12 @@ BUCKET_BYTES = 8 << 20
 CROWD = 500
 #: Bytes of segments refined at once (hashes are kept whole).
 BLOCK_BYTES = 1 << 18
+#: What a task holds at once: bytes of text, or windows of a crowd, that are settled among themselves
+#: (any such unit is at least one chunk), bytes of entries in a batch, documents of which the rest is joined.
+UNIT_BYTES = 6 << 20
+UNIT_WINDOWS = 1 << 18
+BATCH_BYTES = 2 << 20
+CUT_DOCS = 500
 
 _FOUND = "kind int, doc long, ranges binary, starts binary, windows binary"
 _ENTRIES = "bucket int, gram binary, content binary, doc binary, start binary, windows binary"
@@ -158,9 +165,14 @@ def _packed_entries(spread, content, doc, start, windows, buckets: int) -> Itera
         for bucket in np.flatnonzero(np.diff(bounds)):
             mine = order[bounds[bucket] : bounds[bucket + 1]]
             rows.append((int(bucket), None, None, *(_pack(x[mine], kind) for x, kind in zip((doc, start, windows), _KINDS[2:]))))
-    if rows:
-        columns = list(zip(*rows))
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", *_NAMES])
+    some, size = [], 0
+    for at, row in enumerate(rows):
+        some.append(row)
+        size += sum(len(x) for x in row[1:] if x is not None)
+        if size >= BATCH_BYTES or at == len(rows) - 1:
+            columns = list(zip(*some))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", *_NAMES])
+            some, size = [], 0
 
 
 def _entries(docs: DataFrame, buckets: int) -> DataFrame:
@@ -168,15 +180,22 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
+            parts, size = [], 0
             ids = np.asarray(batch.column("doc_id"))
             for first, data, offsets in byte_words.chunks(batch.column("text")):
+                # A batch may hold very many bytes, and its segments several times as many.
+                if parts and size + len(data) > UNIT_BYTES:
+                    yield from settled(parts)
+                    parts, size = [], 0
                 owners, start, windows, gram, content = segments(data, offsets)
                 parts.append((gram, content, ids[first + owners], start, windows))
-            if not parts:
-                continue
-            gram, content, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
-            yield from _packed_entries(byte_words.mix(gram), content, doc, start, windows, buckets)
+                size += len(data)
+            if parts:
+                yield from settled(parts)
+
+    def settled(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        gram, content, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
+        yield from _packed_entries(byte_words.mix(gram), content, doc, start, windows, buckets)
 
     return docs.select("doc_id", "text").mapInArrow(cut, _ENTRIES)
 
@@ -340,9 +359,15 @@ def _crowd_entries(joined: DataFrame, buckets: int) -> DataFrame:
                     digests.append(hashlib.blake2b(text[at : at + WINDOW], digest_size=16).digest())
                     doc.append(owner)
                     start.append(at)
+                    if len(doc) >= UNIT_WINDOWS:
+                        yield from settled(digests, doc, start)
+                        digests, doc, start = [], [], []
             if doc:
-                spread, content = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).T
-                yield from _packed_entries(spread, content, np.array(doc, np.int64), np.array(start, np.uint32), np.ones(len(doc), np.uint32), buckets)
+                yield from settled(digests, doc, start)
+
+    def settled(digests: list[bytes], doc: list[int], start: list[int]) -> Iterator[pa.RecordBatch]:
+        spread, content = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).T
+        yield from _packed_entries(spread, content, np.array(doc, np.int64), np.array(start, np.uint32), np.ones(len(doc), np.uint32), buckets)
 
     return joined.mapInArrow(cut, _ENTRIES)
 
@@ -409,8 +434,8 @@ def _cut(joined: DataFrame, as_text: bool) -> DataFrame:
     schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(_CUT).fields, T.StructField("kept", kept_type)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("row").field("text").cast(pa.binary())
+        for batch in (whole.slice(at, CUT_DOCS) for whole in batches for at in range(0, whole.num_rows, CUT_DOCS)):
+            texts = pc.struct_field(batch.column("row"), "text").cast(pa.binary())
             facts = []
             for text, blobs in zip(texts, batch.column("ranges").to_pylist()):
                 data = text.as_py() or b""

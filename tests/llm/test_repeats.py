@@ -4,10 +4,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ordersight.llm import repeats
+from ordersight.llm import byte_words, repeats
 from tests.llm.conftest import odd_rows, prose, table
 
 
@@ -91,3 +92,49 @@ def test_groups_of_the_transform():
             prefix.setdefault(g, set()).add(here)
     assert all(len(p) == 1 for p in prefix.values())
     assert len(prefix) == len({x for t in texts for x in (t[i : i + 6] for i in range(len(t) - 5))})
+
+
+class _Taken:
+    """Takes the function a step gives to Spark."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, step, schema):
+        self.step = step
+        return self
+
+
+def test_units_of_a_batch_are_bounded(monkeypatch):
+    """A batch of many bytes is cut unit by unit and handed on in small batches."""
+    taken = _Taken()
+    repeats._entries(taken, 50)
+    texts = [prose(i, 3000) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    sizes = []
+    whole = repeats._packed_entries
+
+    def watched(spread, *rest):
+        sizes.append(int(rest[3].sum()))
+        return whole(spread, *rest)
+
+    monkeypatch.setattr(repeats, "_packed_entries", watched)
+    monkeypatch.setattr(repeats, "UNIT_BYTES", 300_000, raising=False)
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 50_000, raising=False)
+    monkeypatch.setattr(byte_words.chunks, "__defaults__", (100_000,))
+    given = list(taken.step(iter([batch])))
+    assert len(sizes) > 1 and max(sizes) <= 300_000 and sum(sizes) == sum(len(t) - 49 for t in texts)
+    assert max(b.nbytes for b in given) < 100_000
+    assert sum(len(w.as_py()) // 4 for b in given for w in b.column("start")) == sum(len(w.as_py()) // 4 for b in given for w in b.column("windows"))
+    counts = [repeats._unpack(w.as_py(), "<u4").sum() for b in given for w in b.column("windows")]
+    assert sum(counts) == sum(sizes)
+
+
+def test_small_units_give_the_same(spark, monkeypatch):
+    """Windows of a crowd in units, texts in small groups: results by definition."""
+    line = prose(70, 14)
+    rows = [(i, prose(300 + i, 2) + " " + line + prose(900 + i, 2)) for i in range(120)]
+    monkeypatch.setattr(repeats, "CROWD", 20)
+    monkeypatch.setattr(repeats, "UNIT_WINDOWS", 50, raising=False)
+    monkeypatch.setattr(repeats, "CUT_DOCS", 7, raising=False)
+    assert found(table(spark, rows)) == expected(rows)
