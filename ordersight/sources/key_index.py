@@ -35,6 +35,9 @@ BITS_PER_KEY, BLOCK_BITS, BITS_SET = 32, 64, 6
 #: Files in the range of a batch that are sent to all tasks, and pairs of key and file that are
 #: looked up in filters; beyond either, all files in the range are read.
 MOST_FILES, MOST_PROBES = 50_000, 2_000_000_000
+#: Up to so many pairs are always looked up; more of them only while they are no more than the keys
+#: stored in those files, as reading these is cheaper then and would find the keys in most files anyway.
+FEW_PROBES = 100_000
 
 
 def _folder(root: str, table: str, column: str, part: str) -> str:
@@ -117,7 +120,8 @@ class KeyIndex:
         wanted = keys.select(F.col(keys.columns[0]).alias("key")).where("key IS NOT NULL")
         low, high, count = wanted.agg(F.min("key"), F.max("key"), F.count("*")).first()
         near = [path for path in ranged if count and known[file_name(path)].low <= high and known[file_name(path)].high >= low]
-        if not near or len(near) > MOST_FILES or count * len(near) > MOST_PROBES:
+        stored = sum(known[file_name(path)].keys for path in near)
+        if not near or len(near) > MOST_FILES or count * len(near) > min(MOST_PROBES, max(FEW_PROBES, stored)):
             return unknown + near
         ranges = self.spark.createDataFrame([known[file_name(path)] for path in near], _file_schema(self.table, self.column))
         pairs = wanted.join(F.broadcast(ranges), F.col("key").between(F.col("low"), F.col("high")))

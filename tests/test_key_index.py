@@ -67,6 +67,14 @@ def test_too_many_files_or_pairs_open_the_whole_range(spark, loaded, monkeypatch
     assert len(opened(spark, loaded, ids(spark, 11, 2401))) == 3
 
 
+def test_no_more_pairs_than_stored_keys(spark, loaded, monkeypatch):
+    """A batch as large as the table is not looked up in every file; reading the files is linear."""
+    many = spark.range(1, 2500, 2).select(F.format_string("s%06d", "id").alias("seller_id"))
+    monkeypatch.setattr(key_index, "FEW_PROBES", 0, raising=False)
+    assert len(opened(spark, loaded, many)) == 3
+    assert opened(spark, loaded, ids(spark, 11, 13)) == []
+
+
 def test_a_load_reads_only_files_that_may_hold_its_keys(spark, loaded):
     """Rows of a file that is not opened cannot be seen: its damage goes unnoticed."""
     lost = [p for p in table_files(spark, loaded, "dim_sellers") if spark.read.parquet(p).agg(F.min("seller_id")).first()[0] == "s000000"]
