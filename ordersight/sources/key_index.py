@@ -32,6 +32,8 @@ INDEXED = {
     "fact_order_reviews": ["review_id", "order_id"],
 }
 BITS_PER_KEY, BLOCK_BITS, BITS_SET = 32, 64, 6
+#: Filter blocks that one task builds, and blocks of a file that always meet in one.
+TASK_BLOCKS, RANGE_BLOCKS = 1 << 17, 1 << 14
 #: Files in the range of a batch that are sent to all tasks, and pairs of key and file that are
 #: looked up in filters; beyond either, all files in the range are read.
 MOST_FILES, MOST_PROBES = 50_000, 2_000_000_000
@@ -100,11 +102,17 @@ class KeyIndex:
         found = keys.groupBy("file").agg(F.count("*").alias("keys"), blocks.alias("blocks"), F.min("key").alias("low"), F.max("key").alias("high")).collect()
         schema = _file_schema(self.table, self.column)
         if found:
-            ranges = self.spark.createDataFrame(found, schema)
-            sized = keys.join(ranges.select("file", "blocks"), "file")
-            filters = sized.groupBy("file", _block(F.col("key"), F.col("blocks")).alias("block")).agg(F.bit_or(_mask(F.col("key"))).alias("bits"))
-            # Files side by side, so that a probe reads the row groups of its files only.
-            filters.repartition("file").sortWithinPartitions("file", "block").write.mode("append").parquet(self.filters)
+            # Files by number: a path in every row would take most of the memory of these steps.
+            numbered = [(at, row.file, row.blocks) for at, row in enumerate(found)]
+            numbers = F.broadcast(self.spark.createDataFrame(numbered, "number INT, file STRING, blocks BIGINT"))
+            block = _block(F.col("key"), F.col("blocks"))
+            marks = keys.join(numbers, "file").select("number", block.alias("block"), _mask(F.col("key")).alias("mask"))
+            # Blocks are dealt in ranges, as many as keep a task small, and those of a file lie side by
+            # side, so that a probe reads the row groups of its files only.
+            parts = -(-sum(row.blocks for row in found) // TASK_BLOCKS)
+            dealt = marks.withColumn("range", F.expr(f"block div {RANGE_BLOCKS}")).repartition(parts, "number", "range")
+            filters = dealt.groupBy("number", "range", "block").agg(F.bit_or("mask").alias("bits")).sortWithinPartitions("number", "block")
+            filters.join(numbers, "number").select("file", "block", "bits").write.mode("append").parquet(self.filters)
         # A file without keys has no range; its row says that it need not be read.
         held = {file_name(row.file) for row in found}
         bare = [(path, 0, 1, None, None) for path in paths if file_name(path) not in held]

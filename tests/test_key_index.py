@@ -129,3 +129,18 @@ def test_without_order_the_smallest_row_stays(spark, tmp_path):
     for rows in ([("s", "9", "b"), ("s", "10", "c"), ("t", None, "x")], [("t", "1", "y")]):
         load_idempotent(spark.createDataFrame(rows, "seller_id STRING, seller_zip_code_prefix STRING, seller_city STRING"), home, "dim_sellers")
     assert sorted(values(read_star(spark, home).dim_sellers, "seller_id", "seller_city")) == [("s", "c"), ("t", "x")]
+
+
+def test_filters_of_a_large_file_are_built_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(key_index, "TASK_BLOCKS", 50, raising=False)
+    monkeypatch.setattr(key_index, "RANGE_BLOCKS", 10, raising=False)
+    home = StarHome(str(tmp_path / "star"))
+    create_star(spark, home)
+    rows = spark.range(1000).select(F.format_string("s%06d", "id").alias("seller_id"))
+    load_idempotent(rows.coalesce(1), home, "dim_sellers")
+    index = KeyIndex(spark, home.root, "dim_sellers", "seller_id")
+    stored = spark.read.parquet(index.filters)
+    assert stored.columns == ["file", "block", "bits"] and stored.select("file").distinct().count() == 1
+    assert stored.select("block").distinct().count() == stored.count() and len(stored.inputFiles()) > 1
+    paths = table_files(spark, home, "dim_sellers")
+    assert all(len(index.may_hold(ids(spark, n), paths)) == 1 for n in range(0, 1000, 111))
