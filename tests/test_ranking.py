@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 import pytest
 
-from ordersight.operators import ranking
+from ordersight.operators import anomaly, marts, ranking
+from ordersight.plans.per_order import TASK_LINES
 from tests.conftest import order, values
 
 
@@ -29,6 +31,17 @@ def shop(make_star):
     )
 
 
+@pytest.mark.parametrize("report", [ranking.product_metrics, anomaly.weekly_sales, marts.top_categories])
+def test_many_lines_are_dealt_by_order(shop, report):
+    many = shop.replace()
+    many.line_bound = lambda: 9 * TASK_LINES
+    found = report(many)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Not left to adaptive execution, which puts partitions together by compressed bytes.
+    assert re.search(r"hashpartitioning\(order_id#\d+, 9\), REPARTITION_BY_NUM", plan)
+    assert sorted(map(str, values(found))) == sorted(map(str, values(report(shop))))
+
+
 def test_metrics_repeat_lines_per_review(shop):
     found = {row[0]: row[1:] for row in values(ranking.product_metrics(shop))}
     # Two lines meet two reviews each: 40 counts twice.
