@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -261,6 +262,9 @@ def _tile_distances(rows: pa.Table) -> pa.Table:
     blocks, shares = rows.column("block").to_numpy(), rows.column("p").to_numpy()
     one, two, width = rows.column("one")[0].as_py(), rows.column("two")[0].as_py(), rows.column("width")[0].as_py()
     number, names = _codes(sources)
+    # By name: rows come in any order, and two sources are to be the same pair in every tile.
+    by_name = pc.sort_indices(names).to_numpy()
+    names, number = names.take(pa.array(by_name)), np.argsort(by_name)[number]
     marks = places < 0
     matrix = np.zeros((len(names), width), np.int64)
     matrix[number[marks]] = shares[marks][:, None]

@@ -73,6 +73,14 @@ def test_odd_and_empty(spark, odd, empty):
     assert found(op.source_divergence(empty)) == []
 
 
+def test_sources_that_lack_the_terms_of_some_tiles(spark):
+    words = [a + b for a in "abcdefgh" for b in "abcdefgh"]
+    texts = {"all": words, "first": words[:20], "last": words[40:], "one": words[30:31], "none": []}
+    rows = [(i, " ".join(kept), "en", source, 0) for i, (source, kept) in enumerate(sorted(texts.items()) * 4)]
+    result = op.source_divergence(table(spark, rows), least_docs=4, tile_slots=8)
+    assert found(result) == brute([r[1:4] for r in rows], 4)
+
+
 def test_perfect_hash_tells_members_from_others():
     words = [f"w{'x' * (i % 5)}" + "".join(chr(97 + int(c)) for c in str(i)) for i in range(5000)]
     _, data, offsets = next(chunks(pa.array([" ".join(words)])))
